@@ -46,9 +46,9 @@ def assemble_records(
         "first_dot": names.first_dot_extension(path),
         "last_dot": names.last_dot_extension(file_name),
     }
-    decoded = entries.withColumn("_decoded", text.decode_utf8(F.col("content")))
-    records = decoded.filter(F.col("_decoded").isNotNull()).select(
-        text.trim_text(F.col("_decoded")).alias("text"),
+    content = F.col("content").cast("string")
+    records = entries.filter(F.is_valid_utf8(content)).select(
+        text.trim_text(content).alias("text"),
         ids[record_id].alias("id"),
         extensions[extension].alias("file_extension"),
         F.lit(CATEGORY).alias("category"),
@@ -106,18 +106,29 @@ def extract(
 
 
 def read_corpus(
-    spark: SparkSession, directory: str, repos: DataFrame | None = None, *, repo_from: str = "file"
+    spark: SparkSession, directory: str, repos: DataFrame | None = None, *, layout: str = "file"
 ) -> DataFrame:
-    """Valid records of the listed repositories; lines of other repositories are never parsed."""
-    lines = record_source.scan_record_lines(spark, directory, repo_from=repo_from)
+    """Valid records of the listed repositories; lines of other repositories are never parsed.
+
+    ``layout`` is one of ``scan_record_lines``, or ``'parquet'`` for records written so.
+    """
+    if layout == "parquet":
+        rows, spread = record_source.scan_record_table(spark, directory), "id"
+    else:
+        rows, spread = record_source.scan_record_lines(spark, directory, layout=layout), "value"
     if repos is not None:
         keys = repos.select(F.col("repo_key").alias("repo"))
-        lines = keep_matching(lines, keys, "repo", spread=["value"])
-    return record_source.valid_records(record_source.parse_record_lines(lines))
+        rows = keep_matching(rows, keys, "repo", spread=[spread])
+    if layout == "parquet":
+        return rows
+    return record_source.valid_records(record_source.parse_record_lines(rows))
 
 
 def dedupe(
-    spark: SparkSession, repos: DataFrame | None, directory: str, *, repo_from: str = "file"
+    spark: SparkSession, repos: DataFrame | None, directory: str, *, layout: str = "file"
 ) -> DataFrame:
-    """Records of the listed repositories, one per distinct text over all of them."""
-    return exact_dedup(read_corpus(spark, directory, repos, repo_from=repo_from))
+    """Records of the listed repositories, one per distinct text over all of them.
+
+    The first of its two passes needs only ids and texts; with ``layout='parquet'`` it reads no more.
+    """
+    return exact_dedup(read_corpus(spark, directory, repos, layout=layout))

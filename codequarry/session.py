@@ -52,13 +52,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread_small(rows: DataFrame, max_bytes: int = 1 << 30) -> DataFrame:
-    """Spread a small table over all cores before CPU-heavy work.
+def spread_scan(rows: DataFrame) -> DataFrame:
+    """Spread a scan over all cores before CPU-heavy work if it has fewer partitions than cores.
 
-    A small file often is one row group and so one task.  A table whose estimated size is above
-    ``max_bytes`` has tasks enough and is returned as it is, without a shuffle.
+    A small file often is one row group and so one busy task.  A large table has partitions enough
+    and is returned as it is, without a shuffle.  Meant for plain scans, whose partitions are known
+    without running anything.
     """
-    estimate = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(estimate) > max_bytes:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)

@@ -13,8 +13,9 @@ def write_records(
     cluster: bool = False,
     keep_other_repos: bool = False,
     buckets: int | None = None,
+    fmt: str = "json",
 ) -> None:
-    """Write one ``repo=<repo>`` folder of JSON lines per repository.
+    """Write one ``repo=<repo>`` folder of JSON lines, or Parquet files, per repository.
 
     Extracted records already lie together by archive and are written where they are.  ``cluster``
     first gathers records scattered by a shuffle, such as deduplicated ones; AQE merges small
@@ -31,5 +32,4 @@ def write_records(
         records = records.hint("rebalance", F.col(partition))
     overwrite = "dynamic" if keep_other_repos else "static"
     writer = records.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-    # A NULL would be left out of the object and the line would no longer hold a whole record.
-    writer.option("ignoreNullFields", False).partitionBy(partition).json(directory)
+    writer.partitionBy(partition).format(fmt).save(directory)

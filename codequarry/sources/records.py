@@ -13,23 +13,32 @@ from codequarry.sources.repos import json_field, with_json
 _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 
 
-def scan_record_lines(spark: SparkSession, directory: str, *, repo_from: str = "file") -> DataFrame:
+def scan_record_lines(spark: SparkSession, directory: str, *, layout: str = "file") -> DataFrame:
     """Raw lines with their repository: (value, repo).
 
-    ``repo_from='file'`` reads ``<repo>.jsonl`` files of one folder, ``'partition'`` reads the
-    ``repo=<repo>`` folders written by ``write_records``.
+    ``layout='file'`` reads the ``<repo>.jsonl`` files of one folder, ``'repo'`` and ``'bucket'`` the
+    ``repo=<repo>`` and ``repo_bucket=<n>`` folders of ``write_records``.
     """
     # Lines end at LF only; a CR before it is JSON white space.
     reader = spark.read.option("lineSep", "\n")
-    if repo_from == "partition":
-        # The declared type keeps a repository named 007 from being read as a number.
-        return reader.schema("value string, repo string").text(directory)
-    if repo_from == "file":
+    if layout == "file":
         lines = reader.option("pathGlobFilter", "*.jsonl").text(directory)
         # The file name arrives URL-encoded, in which a plus sign stands for itself.
         file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
         return lines.select("value", names.file_stem(file_name).alias("repo"))
-    raise ValueError(f"repo_from: {repo_from!r}")
+    if layout == "repo":
+        # The declared type keeps a repository named 007 from being read as a number.
+        return reader.schema("value string, repo string").text(directory)
+    if layout == "bucket":
+        lines = reader.schema("value string, repo_bucket int").text(directory)
+        return lines.select("value", F.get_json_object("value", "$.repo").alias("repo"))
+    raise ValueError(f"layout: {layout!r}")
+
+
+def scan_record_table(spark: SparkSession, directory: str) -> DataFrame:
+    """Records written as Parquet, in either folder layout."""
+    schema = T.StructType([*RECORD.fields, T.StructField("repo", T.StringType())])
+    return spark.read.schema(schema).parquet(directory).select(*schema.fieldNames())
 
 
 def parse_record_lines(lines: DataFrame) -> DataFrame:

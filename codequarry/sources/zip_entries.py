@@ -31,7 +31,37 @@ def storage_uri(path: str) -> str:
 def open_archive(path: str) -> BinaryIO:
     """A buffered, seekable stream over an archive on local, HDFS or object storage."""
     filesystem, inner = fs.FileSystem.from_uri(storage_uri(path))
-    return io.BufferedReader(filesystem.open_input_file(inner), _BUFFER_BYTES)
+    return io.BufferedReader(_ArrowStream(filesystem.open_input_file(inner)), _BUFFER_BYTES)
+
+
+class _ArrowStream(io.RawIOBase):
+    """An Arrow file as a raw stream whose failed seeks are OSErrors, as ``zipfile`` expects."""
+
+    def __init__(self, file):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        return self._file.readinto(buffer)
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        try:
+            return self._file.seek(offset, whence)
+        except ValueError as error:
+            raise OSError(str(error)) from error
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def close(self) -> None:
+        if not self.closed:
+            self._file.close()
+        super().close()
 
 
 def list_entries(stream: BinaryIO) -> Iterator[dict]:

@@ -1,0 +1,168 @@
+import io
+import stat
+import struct
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from codequarry.schemas import MAX_FILE_SIZE
+from codequarry.sources import archives
+
+
+def add(out, name, data=b"x", mode=None, kind=zipfile.ZIP_DEFLATED):
+    info = zipfile.ZipInfo(name)
+    info.compress_type = kind
+    if mode is not None:
+        info.create_system = 3
+        info.external_attr = mode << 16
+    out.writestr(info, data)
+
+
+def make_zip(path, members):
+    with zipfile.ZipFile(path, "w") as out:
+        for member in members:
+            add(out, *member)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    target = tmp_path / "zips"
+    target.mkdir()
+    make_zip(target / "u-r.zip", [
+        ("r/", b""),
+        ("r/a.py", b"print(1)\n"),
+        ("r/Makefile", b"all:"),
+        ("r/link.py", b"a.py", stat.S_IFLNK | 0o777),
+        ("r/stored.c", b"int x;", None, zipfile.ZIP_STORED),
+        ("../evil.py", b"x"),
+        ("/abs.py", b"x"),
+        ("r/empty.py", b""),
+        ("r/bz.py", b"bz" * 50, None, zipfile.ZIP_BZIP2),
+    ])
+    make_zip(target / "u-sizes.zip", [
+        (f"r/{n}.txt", b"s" * n) for n in (MAX_FILE_SIZE - 1, MAX_FILE_SIZE, MAX_FILE_SIZE + 1)
+    ])
+    make_zip(target / "u-none.zip", [])
+    (target / "u-bad.zip").write_bytes(b"PK?")
+    (target / "notes.txt").write_text("no archive")
+    (target / "u-upper.ZIP").write_bytes(b"")
+    nested = target / "nested"
+    nested.mkdir()
+    make_zip(nested / "u-deep.zip", [("r/a.py",)])
+    return str(target)
+
+
+def test_listing_is_flat_and_by_exact_suffix(spark, folder):
+    listed = archives.list_archives(spark, folder)
+    stems = sorted(row.stem for row in listed.collect())
+    assert stems == ["u-bad", "u-none", "u-r", "u-sizes"]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("Location")[0]
+
+
+def test_names_with_odd_characters(spark, tmp_path):
+    make_zip(tmp_path / "u-r x+%20#é.zip", [("r/ä ö.py", b"1")])
+    listed = archives.list_archives(spark, str(tmp_path))
+    assert [row.stem for row in listed.collect()] == ["u-r x+%20#é"]
+    scanned = archives.scan_archives(listed).collect()
+    assert [(row.repo, row.entry_name, bytes(row.content)) for row in scanned] == [
+        ("u-r x+%20#é", "r/ä ö.py", b"1")]
+
+
+def test_only_regular_safe_small_files_with_a_dot_are_read(spark, folder):
+    scanned = archives.scan_archives(archives.list_archives(spark, folder))
+    found = {row.entry_name: bytes(row.content) for row in scanned.collect()}
+    assert found == {
+        "r/a.py": b"print(1)\n",
+        "r/stored.c": b"int x;",
+        "r/empty.py": b"",
+        "r/bz.py": b"bz" * 50,
+        f"r/{MAX_FILE_SIZE - 1}.txt": b"s" * (MAX_FILE_SIZE - 1),
+        f"r/{MAX_FILE_SIZE}.txt": b"s" * MAX_FILE_SIZE,
+    }
+
+
+def test_size_bound_is_a_parameter(spark, folder):
+    listed = archives.list_archives(spark, folder).filter("stem = 'u-r'")
+    scanned = archives.scan_archives(listed, max_file_size=6)
+    assert sorted(row.entry_name for row in scanned.collect()) == ["r/empty.py", "r/stored.c"]
+
+
+def test_bad_archive_is_quarantined_and_the_others_go_on(spark, folder):
+    entries = archives.list_archive_entries(archives.list_archives(spark, folder))
+    errors = archives.archive_errors(entries).collect()
+    assert [row.repo for row in errors] == ["u-bad"] and "BadZipFile" in errors[0].error
+
+
+def test_damaged_member_is_dropped_alone(spark, tmp_path):
+    path = tmp_path / "u-r.zip"
+    make_zip(path, [("a.py", b"first", None, zipfile.ZIP_STORED), ("b.py", b"second")])
+    path.write_bytes(path.read_bytes().replace(b"first", b"fIrst", 1))
+    scanned = archives.scan_archives(archives.list_archives(spark, str(tmp_path)))
+    assert [row.entry_name for row in scanned.collect()] == ["b.py"]
+
+
+def test_name_with_nul_and_encrypted_member(spark, tmp_path):
+    path = tmp_path / "u-r.zip"
+    make_zip(path, [("aaaXb.py", b"1"), ("locked.py", b"2"), ("ok.py", b"3")])
+    data = bytearray(path.read_bytes().replace(b"aaaXb", b"aaa\0b"))
+    start = data.rindex(b"locked.py") - 46
+    flags = struct.unpack_from("<H", data, start + 8)[0]
+    struct.pack_into("<H", data, start + 8, flags | 1)
+    path.write_bytes(data)
+    listed = archives.list_archives(spark, str(tmp_path))
+    assert [row.entry_name for row in archives.scan_archives(listed).collect()] == ["ok.py"]
+    errors = archives.archive_errors(archives.list_archive_entries(listed)).collect()
+    assert [(row.entry_name, row.error) for row in errors] == [("locked.py", "encrypted entry")]
+
+
+def test_repeated_path_gives_one_row_per_member(spark, tmp_path):
+    with pytest.warns(UserWarning):
+        make_zip(tmp_path / "u-r.zip", [("a.py", b"1"), ("a.py", b"2")])
+    scanned = archives.scan_archives(archives.list_archives(spark, str(tmp_path))).collect()
+    assert sorted((row.entry_index, bytes(row.content)) for row in scanned) == [
+        (0, b"1"), (1, b"2")]
+
+
+def test_large_archives_are_split_with_the_same_result(spark, tmp_path):
+    sizes = {"u-huge": 400, "u-mid": 30, "u-tiny": 2}
+    for stem, count in sizes.items():
+        make_zip(tmp_path / f"{stem}.zip", [
+            (f"{stem}/f{i}.py", f"{stem} {i} ".encode() * 40, None, zipfile.ZIP_STORED)
+            for i in range(count)])
+    listed = archives.list_archives(spark, str(tmp_path))
+    columns = ["repo", "entry_index", "entry_name", F.md5("content")]
+    whole = {tuple(r) for r in archives.scan_archives(listed).select(*columns).collect()}
+    split = archives.scan_archives(listed, split_bytes=20_000)
+    assert {tuple(r) for r in split.select(*columns).collect()} == whole
+    assert len(whole) == sum(sizes.values())
+    shares = split.groupBy(F.spark_partition_id()).count().collect()
+    assert max(row["count"] for row in shares) < 0.5 * len(whole)
+
+
+def test_archives_in_a_column_give_the_same_rows(spark, folder):
+    listed = archives.list_archives(spark, folder)
+    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    held = listed.join(content.select(F.col("path").alias("archive"), "content"), "archive")
+    columns = ["repo", "entry_index", "entry_name", "size_in_bytes", F.md5("content")]
+    scanned = {tuple(r) for r in archives.scan_archives(listed).select(*columns).collect()}
+    assert {tuple(r) for r in archives.expand_archives(held).select(*columns).collect()} == scanned
+
+
+def test_match_exact_and_prefix(spark):
+    stems = ["u-r", "u-r_x", "u-r_x_y", "u-foo.js", "v-r"]
+    files = spark.createDataFrame([(s,) for s in stems], "stem string")
+    keys = spark.createDataFrame([("u-r",), ("u-r_x",), ("u-foo.js",), (None,)],
+                                 "repo_key string")
+    exact = archives.match_archives(files, keys).collect()
+    assert sorted(r.stem for r in exact) == ["u-foo.js", "u-r", "u-r_x"]
+    prefix = archives.match_archives(files, keys, match="prefix").collect()
+    assert sorted(r.stem for r in prefix) == ["u-foo.js", "u-r", "u-r_x", "u-r_x_y"]
+    with pytest.raises(ValueError):
+        archives.match_archives(files, keys, match="fuzzy")
+
+
+def test_no_archives_at_all(spark, folder):
+    listed = archives.list_archives(spark, folder).filter("stem = 'absent'")
+    assert archives.scan_archives(listed).count() == 0

@@ -22,7 +22,7 @@ from codequarry.operators import dedup, fetch, languages, stats
 from codequarry.operators.joins import keep_matching
 from codequarry.plans import corpus
 from codequarry.schemas import WHITE_SPACE
-from codequarry.session import prepare, shared_dir, spread_small
+from codequarry.session import prepare, shared_dir, spread_scan
 from codequarry.sinks.records import write_records
 from codequarry.sources import archives, records, repos
 from codequarry.sources.zip_entries import storage_uri
@@ -499,7 +499,7 @@ def total_records(spark, sf_dir):
 
 @query()
 def token_counts(spark, sf_dir):
-    documents = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = token_counter(spark, VOCABULARY)
     return documents.select("doc_id", count(F.col("text")).alias("tokens"))
 
@@ -508,7 +508,7 @@ def token_counts(spark, sf_dir):
 def token_stats(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select(F.col("source").alias("repo"), "text")
     count = token_counter(spark, VOCABULARY)
-    counted = spread_small(documents).withColumn("tokens", count(F.col("text")))
+    counted = spread_scan(documents).withColumn("tokens", count(F.col("text")))
     return stats.corpus_stats(counted)
 
 
@@ -643,7 +643,7 @@ def extract_write_dedupe(spark, sf_dir):
     directory = shared_dir(spark, "records")
     write_records(extracted(spark, sf_dir), directory)
     kept = corpus.dedupe(
-        spark, archive_repos(spark, sf_dir), directory, repo_from="partition"
+        spark, archive_repos(spark, sf_dir), directory, layout="repo"
     )
     return kept.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
 
