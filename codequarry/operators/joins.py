@@ -40,7 +40,7 @@ def keep_matching(
     """
     wanted = keys.select(on).distinct()
     if fits_broadcast(wanted, max_rows, max_bytes):
-        return rows.join(F.broadcast(wanted), on, "left_semi")
+        return rows.join(F.broadcast(wanted), on, "left_semi").select(*rows.columns)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(_SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
     repeated = wanted.withColumn("_salt", salts)
