@@ -18,9 +18,18 @@ def content_survivors(
     collapsed by the map-side aggregation.  A LONG id or order aggregates by hash; a string one
     falls back to a sort of these narrow rows.  NULL texts have no content and are left out.
     """
-    narrow = records.filter(F.col(text).isNotNull())
+    hashed = records.select(
+        content_hash(F.col(text)).alias("content_hash"),
+        F.col(id),
+        *([] if order_by in (None, id) else [F.col(order_by)]),
+    )
+    # Null texts make a group of their own without an id.  A filter on the text or the hash would be
+    # pushed down to the scan and compute it a second time.
     chosen = F.min(id) if order_by is None else F.min_by(id, order_by)
-    return narrow.groupBy(content_hash(F.col(text)).alias("content_hash")).agg(chosen.alias(id))
+    hash_groups = hashed.groupBy("content_hash").agg(
+        F.when(F.col("content_hash").isNotNull(), chosen).alias(id)
+    )
+    return hash_groups.filter(F.col(id).isNotNull())
 
 
 def keep_survivors(records: DataFrame, survivors: DataFrame, *, id: str = "id") -> DataFrame:
@@ -42,8 +51,9 @@ def exact_dedup(
 ) -> DataFrame:
     """One record per distinct text.  ``records`` is scanned twice, so ids must be reproducible."""
     survivors = content_survivors(records, text=text, id=id, order_by=order_by)
-    kept = keep_survivors(records.filter(F.col(text).isNotNull()), survivors, id=id)
+    kept = keep_survivors(records, survivors, id=id)
     if keep_null_text:
+        kept = kept.filter(F.col(text).isNotNull())
         kept = kept.unionByName(records.filter(F.col(text).isNull()))
     return kept
 

@@ -106,29 +106,44 @@ def extract(
 
 
 def read_corpus(
-    spark: SparkSession, directory: str, repos: DataFrame | None = None, *, layout: str = "file"
+    spark: SparkSession,
+    directory: str,
+    repos: DataFrame | None = None,
+    *,
+    layout: str = "file",
+    match: str = "exact",
 ) -> DataFrame:
     """Valid records of the listed repositories; lines of other repositories are never parsed.
 
-    ``layout`` is one of ``scan_record_lines``, or ``'parquet'`` for records written so.
+    ``layout`` is one of ``scan_record_lines``, or ``'parquet'`` for records written so.  ``match``
+    is that of ``match_archives``.
     """
     if layout == "parquet":
         rows, spread = record_source.scan_record_table(spark, directory), "id"
     else:
         rows, spread = record_source.scan_record_lines(spark, directory, layout=layout), "value"
     if repos is not None:
-        keys = repos.select(F.col("repo_key").alias("repo"))
-        rows = keep_matching(rows, keys, "repo", spread=[spread])
+        if match == "exact":
+            keys = repos.select(F.col("repo_key").alias("repo"))
+            rows = keep_matching(rows, keys, "repo", spread=[spread])
+        else:
+            keyed = rows.withColumn("repo_key", archive_source.key_of_stem(F.col("repo"), match))
+            rows = keep_matching(keyed, repos, "repo_key", spread=[spread]).drop("repo_key")
     if layout == "parquet":
         return rows
     return record_source.valid_records(record_source.parse_record_lines(rows))
 
 
 def dedupe(
-    spark: SparkSession, repos: DataFrame | None, directory: str, *, layout: str = "file"
+    spark: SparkSession,
+    repos: DataFrame | None,
+    directory: str,
+    *,
+    layout: str = "file",
+    match: str = "exact",
 ) -> DataFrame:
     """Records of the listed repositories, one per distinct text over all of them.
 
     The first of its two passes needs only ids and texts; with ``layout='parquet'`` it reads no more.
     """
-    return exact_dedup(read_corpus(spark, directory, repos, layout=layout))
+    return exact_dedup(read_corpus(spark, directory, repos, layout=layout, match=match))

@@ -11,7 +11,7 @@ import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,19 +33,24 @@ def list_archives(spark: SparkSession, directory: str, suffix: str = "zip") -> D
     return files.select(F.col("path").alias("archive"), "length", stem.alias("stem"))
 
 
+def key_of_stem(stem: Column, match: str) -> Column:
+    """What of a file stem is compared with repository keys."""
+    if match == "exact":
+        return stem
+    if match == "prefix":
+        return names.match_key(stem)
+    raise ValueError(f"match: {match!r}")
+
+
 def match_archives(archives: DataFrame, repos: DataFrame, match: str = "exact") -> DataFrame:
     """Archives of listed repositories.
 
     ``'exact'`` compares the whole stem with the repository key, ``'prefix'`` only the stem up to
     its first underscore, which also admits suffixed names of a listed repository.
     """
-    if match not in ("exact", "prefix"):
-        raise ValueError(f"match: {match!r}")
-    stem = F.col("stem")
-    key = stem if match == "exact" else names.match_key(stem)
-    keys = repos.select("repo_key")
+    keyed = archives.withColumn("repo_key", key_of_stem(F.col("stem"), match))
     # Both sides are narrow, so Catalyst may broadcast or shuffle by its own size estimate.
-    return archives.withColumn("repo_key", key).join(keys, "repo_key", "left_semi").drop("repo_key")
+    return keyed.join(repos.select("repo_key"), "repo_key", "left_semi").drop("repo_key")
 
 
 def list_archive_entries(archives: DataFrame) -> DataFrame:

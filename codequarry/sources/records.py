@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from codequarry.functions import names
 from codequarry.schemas import RECORD
-from codequarry.sources.repos import json_field, with_json
+from codequarry.sources.repos import with_json
 
 _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 
@@ -47,22 +47,32 @@ def parse_record_lines(lines: DataFrame) -> DataFrame:
     A line is a record when it is one valid UTF-8 JSON object that has every field with its own
     JSON type and no negative number; further fields are ignored.
     """
-    line = F.when(F.is_valid_utf8("value"), F.col("value"))
     others = [name for name in lines.columns if name != "value"]
+    line = F.when(F.is_valid_utf8("value"), F.col("value"))
     parsed = with_json(lines, line, F.col("value").alias("raw"), *others)
-    # Fields are generated in one go for the same reason as the parse itself.
-    fields = F.struct(*[_record_field(field).alias(field.name) for field in RECORD.fields])
-    parsed = parsed.select("raw", *others, F.inline(F.array(fields)))
-    missing = F.lit(False)
+    # Fields are generated, too: it keeps them from being taken out of the value again per use.
+    raw_fields = [_json_part(f"$[0].{field.name}", f"_{field.name}") for field in RECORD.fields]
+    parts = F.struct(*raw_fields, _json_part("$[1]", "_more"))
+    parsed = parsed.select("raw", *others, F.inline(F.array(parts)))
+    fits = F.col("_more").isNull()
     for field in RECORD.fields:
-        missing = missing | F.col(field.name).isNull()
-    return parsed.withColumn("is_malformed", missing)
+        fits = fits & _has_own_type(field)
+    return parsed.select(
+        "raw",
+        *others,
+        *[F.col(f"_{f.name}").try_cast(f.dataType).alias(f.name) for f in RECORD.fields],
+        (~F.coalesce(fits, F.lit(False))).alias("is_malformed"),
+    )
+
+
+def _json_part(path: str, name: str) -> Column:
+    return F.try_variant_get("_json", path, "variant").alias(name)
 
 
-def _record_field(field: T.StructField) -> Column:
-    kind, data_type = _VARIANT_TYPE[field.dataType], field.dataType.simpleString()
-    value = json_field(f".{field.name}", kind, data_type)
-    return F.when(value >= 0, value) if field.dataType == T.LongType() else value
+def _has_own_type(field: T.StructField) -> Column:
+    part = F.col(f"_{field.name}")
+    same = F.schema_of_variant(part) == _VARIANT_TYPE[field.dataType]
+    return same & (part.try_cast("long") >= 0) if field.dataType == T.LongType() else same
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:

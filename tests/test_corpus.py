@@ -115,3 +115,8 @@ def test_flat_files_of_another_writer(spark, tmp_path):
     (tmp_path / "u-c.jsonl").write_text(template % ("unlisted", "4"))
     kept = corpus.dedupe(spark, listed(spark, "u/a", "u/b"), str(tmp_path))
     assert sorted((r.id, r.repo) for r in kept.collect()) == [("1", "u-b"), ("3", "u-b")]
+    (tmp_path / "u-a_v2.jsonl").write_text(template % ("more", "5"))
+    exact = corpus.read_corpus(spark, str(tmp_path), listed(spark, "u/a"))
+    assert [r.id for r in exact.collect()] == ["2"]
+    prefix = corpus.read_corpus(spark, str(tmp_path), listed(spark, "u/a"), match="prefix")
+    assert sorted(r.id for r in prefix.collect()) == ["2", "5"]

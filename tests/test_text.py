@@ -1,5 +1,8 @@
 import hashlib
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from codequarry.functions import text
@@ -17,6 +20,25 @@ def test_trim_keeps_everything_else(column):
     assert column(text.trim_text, [" \t\n", ""]) == ["", ""]
 
 
+@pytest.mark.parametrize("fill", ["x", "é", "漢", "😀", "䀨", "ऀ", ""])
+def test_trim_of_long_ends(column, fill):
+    """Ends around the number of bytes that are looked at first, cut inside characters."""
+    values, expected = [], []
+    for count in (0, 1, 2, 40, 60, 61, 62, 63, 64, 120, 124, 125, 126, 127, 128, 129, 130, 300):
+        for space in (" ", "\n", "\u00a0", "\u2028", "\u3000"):
+            for body in (fill, fill * 3, "a" + fill, fill * 200):
+                values.append(space * count + body + space * count)
+                expected.append(body)
+    assert column(text.trim_text, values) == expected
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from([*WHITE_SPACE, "a", "é", "漢", "😀", "䀨", "\u200b"]),
+                         max_size=90).map("".join), min_size=1, max_size=30))
+def test_trim_matches_python(column, values):
+    assert column(text.trim_text, values) == [v.strip(WHITE_SPACE) for v in values]
+
+
 def test_content_hash_is_md5_of_utf8(column):
     values = ["", "a", "é漢😀"]
     expected = [hashlib.md5(v.encode()).hexdigest() for v in values]
