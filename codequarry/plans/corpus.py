@@ -16,26 +16,15 @@ from codequarry.sources import records as record_source
 
 
 def assemble_records(
-    entries: DataFrame,
-    *,
-    vocabulary: str,
-    extension: str = "first_dot",
-    record_id: str = "stable",
-    special_as_text: bool = False,
+    entries: DataFrame, *, extension: str = "first_dot", record_id: str = "stable"
 ) -> DataFrame:
-    """Archive members with content as records; members that are not UTF-8 text are dropped.
+    """Archive members with content as records without ``tokens``; members that are not UTF-8 text
+    are dropped.
 
     ``extension='last_dot'`` gives the suffix of the file name instead of everything after the first
     dot of the path.  ``record_id='uuid'`` gives random ids, which change whenever the records are
     computed again, so write such records before using them twice.
     """
-    if extension not in ("first_dot", "last_dot"):
-        raise ValueError(f"extension: {extension!r}")
-    if record_id not in ("stable", "uuid"):
-        raise ValueError(f"record_id: {record_id!r}")
-    count_tokens = token_counter(
-        entries.sparkSession, vocabulary, special_as_text=special_as_text
-    )
     path = F.col("entry_name")
     file_name = names.path_file_name(path)
     ids = {
@@ -46,8 +35,11 @@ def assemble_records(
         "first_dot": names.first_dot_extension(path),
         "last_dot": names.last_dot_extension(file_name),
     }
+    for options, chosen in ((extensions, extension), (ids, record_id)):
+        if chosen not in options:
+            raise ValueError(f"{chosen!r} is not one of {sorted(options)}")
     content = F.col("content").cast("string")
-    records = entries.filter(F.is_valid_utf8(content)).select(
+    return entries.filter(F.is_valid_utf8(content)).select(
         text.trim_text(content).alias("text"),
         ids[record_id].alias("id"),
         extensions[extension].alias("file_extension"),
@@ -57,6 +49,13 @@ def assemble_records(
         file_name.alias("file_name"),
         "repo",
     )
+
+
+def add_tokens(records: DataFrame, vocabulary: str, *, special_as_text: bool = False) -> DataFrame:
+    """Whole records: with ``tokens``, and without the texts a tokenizer refuses."""
+    count_tokens = token_counter(
+        records.sparkSession, vocabulary, special_as_text=special_as_text
+    )
     counted = records.withColumn("tokens", count_tokens(F.col("text")))
     return counted.filter(F.col("tokens").isNotNull()).select(*RECORD_COLUMNS, "repo")
 
@@ -66,7 +65,7 @@ def extract(
     repos: DataFrame,
     archive_dir: str,
     *,
-    vocabulary: str,
+    vocabulary: str | None,
     max_file_size: int = MAX_FILE_SIZE,
     match: str = "exact",
     languages: DataFrame | None = None,
@@ -79,7 +78,9 @@ def extract(
     """Records of the archives of the listed repositories.
 
     ``languages`` (with ``catalog``) keeps only files of these languages; the filter runs on the
-    archive listing, before anything is inflated.
+    archive listing, before anything is inflated.  Without a ``vocabulary`` the records have no
+    ``tokens``: counting is the costliest step, so it pays to write such records as Parquet, dedupe
+    them and ``add_tokens`` to what is left.
     """
     keep_entries = None
     if languages is not None:
@@ -96,13 +97,10 @@ def extract(
     entries = archive_source.scan_archives(
         matched, max_file_size=max_file_size, keep_entries=keep_entries, split_bytes=split_bytes
     )
-    return assemble_records(
-        entries,
-        vocabulary=vocabulary,
-        extension=extension,
-        record_id=record_id,
-        special_as_text=special_as_text,
-    )
+    records = assemble_records(entries, extension=extension, record_id=record_id)
+    if vocabulary is None:
+        return records
+    return add_tokens(records, vocabulary, special_as_text=special_as_text)
 
 
 def read_corpus(
@@ -129,9 +127,9 @@ def read_corpus(
         else:
             keyed = rows.withColumn("repo_key", archive_source.key_of_stem(F.col("repo"), match))
             rows = keep_matching(keyed, repos, "repo_key", spread=[spread]).drop("repo_key")
-    if layout == "parquet":
-        return rows
-    return record_source.valid_records(record_source.parse_record_lines(rows))
+    if layout != "parquet":
+        rows = record_source.valid_records(record_source.parse_record_lines(rows))
+    return rows.select(*RECORD_COLUMNS, "repo")
 
 
 def dedupe(

@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from codequarry.functions import names
 from codequarry.schemas import ENTRY, MAX_FILE_SIZE
 from codequarry.sources import zip_entries
+from codequarry.sources.folders import lies_directly_in
 
 SPLIT_BYTES = 128 << 20
 _BATCH_ROWS = 1000
@@ -28,9 +29,13 @@ _MAX_PARTITIONS = 200_000
 
 def list_archives(spark: SparkSession, directory: str, suffix: str = "zip") -> DataFrame:
     """Files of one folder by suffix as (archive, length, stem); contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(directory)
-    stem = names.file_stem(names.base_file_name(F.col("path")))
-    return files.select(F.col("path").alias("archive"), "length", stem.alias("stem"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", f"*.{suffix}").load(directory)
+    path = F.col("path")
+    stem = names.file_stem(names.base_file_name(path))
+    return files.filter(lies_directly_in(path, directory)).select(
+        path.alias("archive"), "length", stem.alias("stem")
+    )
 
 
 def key_of_stem(stem: Column, match: str) -> Column:

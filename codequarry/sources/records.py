@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from codequarry.functions import names
 from codequarry.schemas import RECORD
+from codequarry.sources.folders import decoded_path, lies_directly_in
 from codequarry.sources.repos import with_json
 
 _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
@@ -22,10 +23,11 @@ def scan_record_lines(spark: SparkSession, directory: str, *, layout: str = "fil
     # Lines end at LF only; a CR before it is JSON white space.
     reader = spark.read.option("lineSep", "\n")
     if layout == "file":
+        reader = reader.option("recursiveFileLookup", True)
         lines = reader.option("pathGlobFilter", "*.jsonl").text(directory)
-        # The file name arrives URL-encoded, in which a plus sign stands for itself.
-        file_name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-        return lines.select("value", names.file_stem(file_name).alias("repo"))
+        path = decoded_path(F.col("_metadata.file_path"))
+        repo = names.file_stem(names.base_file_name(path))
+        return lines.filter(lies_directly_in(path, directory)).select("value", repo.alias("repo"))
     if layout == "repo":
         # The declared type keeps a repository named 007 from being read as a number.
         return reader.schema("value string, repo string").text(directory)

@@ -1,4 +1,3 @@
-import io
 import stat
 import struct
 import zipfile
@@ -50,6 +49,9 @@ def folder(tmp_path):
     nested = target / "nested"
     nested.mkdir()
     make_zip(nested / "u-deep.zip", [("r/a.py",)])
+    for name in ("kind=1", "other=2"):
+        (target / name).mkdir()
+        make_zip(target / name / "u-part.zip", [("r/a.py",)])
     return str(target)
 
 
@@ -61,6 +63,11 @@ def test_listing_is_flat_and_by_exact_suffix(spark, folder):
     assert "content" not in plan.split("Location")[0]
 
 
+@pytest.mark.parametrize("form", ["{}/", "file:{}", "file://{}", "{}/nested/.."])
+def test_ways_to_write_a_folder(spark, folder, form):
+    assert archives.list_archives(spark, form.format(folder)).count() == 4
+
+
 def test_names_with_odd_characters(spark, tmp_path):
     make_zip(tmp_path / "u-r x+%20#é.zip", [("r/ä ö.py", b"1")])
     listed = archives.list_archives(spark, str(tmp_path))
@@ -143,7 +150,7 @@ def test_large_archives_are_split_with_the_same_result(spark, tmp_path):
 
 def test_archives_in_a_column_give_the_same_rows(spark, folder):
     listed = archives.list_archives(spark, folder)
-    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    content = spark.read.format("binaryFile").load(f"{folder}/*.zip")
     held = listed.join(content.select(F.col("path").alias("archive"), "content"), "archive")
     columns = ["repo", "entry_index", "entry_name", "size_in_bytes", F.md5("content")]
     scanned = {tuple(r) for r in archives.scan_archives(listed).select(*columns).collect()}

@@ -107,6 +107,19 @@ def test_extract_write_dedupe_stats(spark, folder, ranks, tmp_path, fmt):
     assert (total.records, total.tokens) == (6, sum(r.tokens for r in whole.collect()))
 
 
+def test_tokens_may_be_counted_after_the_dedup(spark, folder, ranks, tmp_path):
+    keys = listed(spark, "u/r", "u/r_x", "v/s")
+    first, late = str(tmp_path / "first"), str(tmp_path / "late")
+    write_records(corpus.extract(spark, keys, folder, vocabulary=ranks), first)
+    bare = corpus.extract(spark, keys, folder, vocabulary=None)
+    assert bare.columns == [c for c in RECORD_COLUMNS if c != "tokens"] + ["repo"]
+    write_records(bare, late, fmt="parquet")
+    counted = corpus.add_tokens(corpus.dedupe(spark, keys, late, layout="parquet"), ranks)
+    expected = corpus.dedupe(spark, keys, first, layout="repo")
+    assert counted.columns == expected.columns
+    assert set(map(tuple, counted.collect())) == set(map(tuple, expected.collect()))
+
+
 def test_flat_files_of_another_writer(spark, tmp_path):
     template = ('{"text":"%s","id":"%s","file_extension":".py","category":"programming",'
                 '"path":"p","size_in_bytes":1,"file_name":"f","tokens":1}\n')

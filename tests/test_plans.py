@@ -66,7 +66,7 @@ def test_token_count_runs_once_even_when_filtered(spark, ranks):
         F.col("source").alias("repo"), F.col("doc_id").alias("entry_index"),
         F.col("lang").alias("entry_name"), F.col("n_chars").alias("size_in_bytes"),
         F.col("text").cast("binary").alias("content"))
-    made = corpus.assemble_records(entries, vocabulary=ranks)
+    made = corpus.add_tokens(corpus.assemble_records(entries), ranks)
     assert executed(made).count("ArrowEvalPython") == 1
 
 

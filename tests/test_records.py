@@ -73,6 +73,9 @@ def test_bracket_tricks_are_no_records(spark, tmp_path):
 def test_repo_comes_from_the_file_name(spark, tmp_path, stem):
     (tmp_path / f"{stem}.jsonl").write_text(line())
     (tmp_path / "other.json").write_text(line())
+    for nested in ("a=1", "b=2", "c"):
+        (tmp_path / nested).mkdir()
+        (tmp_path / nested / "x.jsonl").write_text(line())
     lines = records.scan_record_lines(spark, str(tmp_path))
     assert [r.repo for r in lines.collect()] == [stem]
 

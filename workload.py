@@ -600,12 +600,12 @@ def stored_zip_dir(spark: SparkSession, sf_dir: str) -> str:
     return directory
 
 
-def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def extracted(spark: SparkSession, sf_dir: str, vocabulary: str | None) -> DataFrame:
     return corpus.extract(
         spark,
         archive_repos(spark, sf_dir),
         stored_zip_dir(spark, sf_dir),
-        vocabulary=VOCABULARY,
+        vocabulary=vocabulary,
         max_file_size=_CAP,
     )
 
@@ -627,12 +627,12 @@ def archive_entries(spark, sf_dir):
 
 @query(_EXTRACTED_SQL)
 def extract_records(spark, sf_dir):
-    return extracted(spark, sf_dir).drop("tokens")
+    return extracted(spark, sf_dir, None)
 
 
 @query()
 def extract_with_tokens(spark, sf_dir):
-    return extracted(spark, sf_dir)
+    return extracted(spark, sf_dir, VOCABULARY)
 
 
 @query(f"""
@@ -641,7 +641,7 @@ def extract_with_tokens(spark, sf_dir):
       QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY id) = 1)""")
 def extract_write_dedupe(spark, sf_dir):
     directory = shared_dir(spark, "records")
-    write_records(extracted(spark, sf_dir), directory)
+    write_records(extracted(spark, sf_dir, VOCABULARY), directory)
     kept = corpus.dedupe(
         spark, archive_repos(spark, sf_dir), directory, layout="repo"
     )
