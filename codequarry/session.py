@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
+_SMALL_SCAN_PARTITIONS = 64
+
 # Applied by ``prepare`` only where the session still has Spark's default.
 _SETTINGS = {
     # Texts run to 128 KiB each, so Arrow batches of the default 10,000 rows would be too large.
@@ -53,11 +55,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 
 def spread_scan(rows: DataFrame) -> DataFrame:
-    """Spread a scan over all cores before CPU-heavy work if it has fewer partitions than cores.
+    """Spread a small scan over all cores before CPU-heavy work.
 
-    A small file often is one row group and so one busy task.  A large table has partitions enough
-    and is returned as it is, without a shuffle.  Meant for plain scans, whose partitions are known
-    without running anything.
+    A small file often is one row group and so one busy task.  A scan of at least
+    ``_SMALL_SCAN_PARTITIONS`` partitions, or of as many as there are cores, is returned as it is,
+    without a shuffle.  Meant for plain scans, whose partitions are known without running anything.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    if rows.rdd.getNumPartitions() >= min(cores, _SMALL_SCAN_PARTITIONS):
+        return rows
+    return rows.repartition(cores)

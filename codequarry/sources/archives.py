@@ -76,7 +76,8 @@ def _entries_of(archive: str, stem: str, content: bytes | None = None) -> Iterat
         with zip_entries.open_archive(archive) if content is None else io.BytesIO(content) as stream:
             for entry in zip_entries.list_entries(stream):
                 yield common | entry
-    except Exception as error:
+    except (*zip_entries.DAMAGE, FileNotFoundError, PermissionError) as error:
+        # Other storage errors fail the task, so that it is tried again.
         yield common | {"error": f"{type(error).__name__}: {error}"}
 
 

@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 import io
+import lzma
 import stat
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import quote
 
 from pyarrow import fs
 
+# What damaged or unsupported archive data raises.
+DAMAGE = (
+    zipfile.BadZipFile,
+    zlib.error,
+    lzma.LZMAError,
+    struct.error,
+    EOFError,
+    NotImplementedError,
+    ValueError,
+)
+
 _UNIX = 3
 _ENCRYPTED = 0x1
 _BUFFER_BYTES = 4 << 20
@@ -92,19 +106,25 @@ def _is_file(info: zipfile.ZipInfo) -> bool:
 def read_entry(stream: BinaryIO, entry: dict) -> bytes | None:
     """Inflate one listed member; None when its data is damaged.
 
-    The output never exceeds the listed size, and the checksum must match.
+    The output never exceeds the listed size, and the checksum must match.  Errors of the storage
+    itself are raised, so that the task is tried again.
     """
+    stream.seek(entry["header_offset"])
+    header = stream.read(_LOCAL_HEADER_BYTES)
+    skip = int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
+    stream.seek(skip, io.SEEK_CUR)
+    packed = stream
+    if entry["compressed_size"] <= 2 * entry["size_in_bytes"] + _BUFFER_BYTES:
+        packed = io.BytesIO(stream.read(entry["compressed_size"]))
+    info = zipfile.ZipInfo("member")
+    info.compress_type = entry["method"]
+    info.compress_size = entry["compressed_size"]
+    info.file_size = entry["size_in_bytes"]
+    info.CRC = entry["crc"]
     try:
-        stream.seek(entry["header_offset"])
-        header = stream.read(_LOCAL_HEADER_BYTES)
-        skip = int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
-        stream.seek(skip, io.SEEK_CUR)
-        info = zipfile.ZipInfo("member")
-        info.compress_type = entry["method"]
-        info.compress_size = entry["compressed_size"]
-        info.file_size = entry["size_in_bytes"]
-        info.CRC = entry["crc"]
-        content = zipfile.ZipExtFile(stream, "r", info).read(info.file_size + 1)
-    except Exception:
+        content = zipfile.ZipExtFile(packed, "r", info).read(info.file_size + 1)
+    except (*DAMAGE, OSError):
+        if packed is stream:
+            raise
         return None
     return content if len(content) == entry["size_in_bytes"] else None

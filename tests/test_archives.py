@@ -1,3 +1,4 @@
+import io
 import stat
 import struct
 import zipfile
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codequarry.schemas import MAX_FILE_SIZE
-from codequarry.sources import archives
+from codequarry.sources import archives, zip_entries
 
 
 def add(out, name, data=b"x", mode=None, kind=zipfile.ZIP_DEFLATED):
@@ -110,6 +111,28 @@ def test_damaged_member_is_dropped_alone(spark, tmp_path):
     assert [row.entry_name for row in scanned.collect()] == ["b.py"]
 
 
+@pytest.mark.parametrize("kind", [zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA])
+def test_damaged_compressed_data(spark, tmp_path, kind):
+    path = tmp_path / "u-r.zip"
+    make_zip(path, [("a.py", b"some text " * 50, None, kind), ("b.py", b"second")])
+    data = bytearray(path.read_bytes())
+    start = 30 + len("a.py") + 8
+    data[start:start + 12] = b"\xff" * 12
+    path.write_bytes(data)
+    scanned = archives.scan_archives(archives.list_archives(spark, str(tmp_path)))
+    assert [row.entry_name for row in scanned.collect()] == ["b.py"]
+
+
+def test_storage_errors_are_raised_for_a_retry():
+    class Broken(io.BytesIO):
+        def read(self, size=-1):
+            raise OSError("connection reset")
+
+    entry = {"header_offset": 0, "compressed_size": 3, "size_in_bytes": 3, "method": 0, "crc": 0}
+    with pytest.raises(OSError, match="connection reset"):
+        zip_entries.read_entry(Broken(), entry)
+
+
 def test_name_with_nul_and_encrypted_member(spark, tmp_path):
     path = tmp_path / "u-r.zip"
     make_zip(path, [("aaaXb.py", b"1"), ("locked.py", b"2"), ("ok.py", b"3")])

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -133,3 +134,29 @@ def test_overwrite_replaces_all_or_only_written_repos(spark, tmp_path):
     assert written() == {("a", "3"), ("b", "2")}
     write_records(frame(spark, [{"id": "4", "repo": "a"}]), target)
     assert written() == {("a", "4")}
+
+
+def test_clustered_write_splits_a_hot_repository_and_gathers_the_others(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    rows = [{"id": str(i), "repo": "hot" if i % 3 else f"r{i % 40}",
+             "text": random.Random(i).randbytes(300).hex()} for i in range(6000)]
+    made = frame(spark, rows).repartition(16)
+    spark.conf.set(key, "200k")
+    try:
+        write_records(made, str(tmp_path / "out"), cluster=True)
+    finally:
+        spark.conf.set(key, before)
+    files = {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "out").glob("repo=*")}
+    assert files["repo=hot"] > 1
+    # Of the others only those in the hot one's shuffle partition may be split along with it.
+    assert sum(count == 1 for count in files.values()) > len(files) / 2
+    lines = records.scan_record_lines(spark, str(tmp_path / "out"), layout="repo")
+    assert as_set(records.valid_records(records.parse_record_lines(lines))) == as_set(made)
+
+
+def test_very_long_text(spark, tmp_path):
+    long = line(text="é\n" * 10_000_000)
+    parsed = scanned(spark, tmp_path, f"{long}\n{line()}\n".encode())
+    found = records.valid_records(parsed).selectExpr("char_length(text) AS n").collect()
+    assert sorted(r.n for r in found) == [12, 20_000_000]
