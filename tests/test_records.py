@@ -142,7 +142,7 @@ def test_clustered_write_splits_a_hot_repository_and_gathers_the_others(spark, t
     rows = [{"id": str(i), "repo": "hot" if i % 3 else f"r{i % 40}",
              "text": random.Random(i).randbytes(300).hex()} for i in range(6000)]
     made = frame(spark, rows).repartition(16)
-    spark.conf.set(key, "200k")
+    spark.conf.set(key, "400k")
     try:
         write_records(made, str(tmp_path / "out"), cluster=True)
     finally:
