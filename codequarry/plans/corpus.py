@@ -74,13 +74,15 @@ def extract(
     record_id: str = "stable",
     special_as_text: bool = False,
     split_bytes: int = archive_source.SPLIT_BYTES,
+    through_spark: bool = False,
 ) -> DataFrame:
     """Records of the archives of the listed repositories.
 
     ``languages`` (with ``catalog``) keeps only files of these languages; the filter runs on the
     archive listing, before anything is inflated.  Without a ``vocabulary`` the records have no
     ``tokens``: counting is the costliest step, so it pays to write such records as Parquet, dedupe
-    them and ``add_tokens`` to what is left.
+    them and ``add_tokens`` to what is left.  ``through_spark`` lets Spark read the archives as whole
+    cells, for storage that executors cannot open through Arrow.
     """
     keep_entries = None
     if languages is not None:
@@ -92,11 +94,13 @@ def extract(
             named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
             return keep_languages(named, wanted, file_name="_name").drop("_name")
 
-    listed = archive_source.list_archives(spark, archive_dir)
+    listed = archive_source.list_archives(spark, archive_dir, with_content=through_spark)
     matched = archive_source.match_archives(listed, repos, match)
-    entries = archive_source.scan_archives(
-        matched, max_file_size=max_file_size, keep_entries=keep_entries, split_bytes=split_bytes
-    )
+    options = {"max_file_size": max_file_size, "keep_entries": keep_entries}
+    if through_spark:
+        entries = archive_source.expand_archives(matched, **options)
+    else:
+        entries = archive_source.scan_archives(matched, split_bytes=split_bytes, **options)
     records = assemble_records(entries, extension=extension, record_id=record_id)
     if vocabulary is None:
         return records

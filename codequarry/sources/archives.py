@@ -8,7 +8,7 @@ and no content crosses a shuffle.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,14 +27,20 @@ _BATCH_BYTES = 16 << 20
 _MAX_PARTITIONS = 200_000
 
 
-def list_archives(spark: SparkSession, directory: str, suffix: str = "zip") -> DataFrame:
-    """Files of one folder by suffix as (archive, length, stem); contents are not read."""
+def list_archives(
+    spark: SparkSession, directory: str, suffix: str = "zip", *, with_content: bool = False
+) -> DataFrame:
+    """Files of one folder by suffix as (archive, length, stem).
+
+    Contents are read only ``with_content``, which adds them as a column for ``expand_archives``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     files = reader.option("pathGlobFilter", f"*.{suffix}").load(directory)
     path = F.col("path")
     stem = names.file_stem(names.base_file_name(path))
+    content = ["content"] if with_content else []
     return files.filter(lies_directly_in(path, directory)).select(
-        path.alias("archive"), "length", stem.alias("stem")
+        path.alias("archive"), "length", stem.alias("stem"), *content
     )
 
 
@@ -54,7 +60,7 @@ def match_archives(archives: DataFrame, repos: DataFrame, match: str = "exact")
     its first underscore, which also admits suffixed names of a listed repository.
     """
     keyed = archives.withColumn("repo_key", key_of_stem(F.col("stem"), match))
-    # Both sides are narrow, so Catalyst may broadcast or shuffle by its own size estimate.
+    # A listing is narrow, so Catalyst may broadcast or shuffle by its own size estimate.
     return keyed.join(repos.select("repo_key"), "repo_key", "left_semi").drop("repo_key")
 
 
@@ -148,7 +154,7 @@ def scan_archives(
     archives: DataFrame,
     *,
     max_file_size: int = MAX_FILE_SIZE,
-    keep_entries=None,
+    keep_entries: Callable[[DataFrame], DataFrame] | None = None,
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Readable members of the archives with their content.
@@ -188,10 +194,16 @@ def scan_archives(
     return scanned
 
 
-def expand_archives(archives: DataFrame, *, max_file_size: int = MAX_FILE_SIZE) -> DataFrame:
+def expand_archives(
+    archives: DataFrame,
+    *,
+    max_file_size: int = MAX_FILE_SIZE,
+    keep_entries: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Readable members of (archive, stem, content) rows, for archives held in a binary column.
 
-    Every archive is one cell, so this suits small archives and storage that workers cannot open.
+    Every archive is one cell, so this suits archives well below the cell limit of 2 GiB on storage
+    that only Spark can open.  An unreadable archive gives no row.
     """
     output = T.StructType([*ENTRY.fields, T.StructField("content", T.BinaryType())])
     schema = to_arrow_schema(output)
@@ -211,4 +223,5 @@ def expand_archives(archives: DataFrame, *, max_file_size: int = MAX_FILE_SIZE)
         yield from _batched(expanded(batches), schema)
 
     entries = archives.select("archive", "stem", "content").mapInArrow(expanding, output)
-    return readable_entries(entries, max_file_size)
+    found = readable_entries(entries, max_file_size)
+    return keep_entries(found) if keep_entries else found

@@ -51,6 +51,13 @@ def test_records(spark, folder, ranks):
     assert rows["r-main/c.h"].tokens == 4
 
 
+def test_archives_read_through_spark_give_the_same_records(spark, folder, ranks):
+    keys = listed(spark, "u/r", "u/r_x", "u/bad")
+    opened = corpus.extract(spark, keys, folder, vocabulary=ranks)
+    through = corpus.extract(spark, keys, folder, vocabulary=ranks, through_spark=True)
+    assert set(map(tuple, through.collect())) == set(map(tuple, opened.collect()))
+
+
 def test_options(spark, folder, ranks):
     keys = listed(spark, "u/r")
     made = corpus.extract(spark, keys, folder, vocabulary=ranks, special_as_text=True,

@@ -592,9 +592,18 @@ def zip_archives(members: DataFrame, directory: str | None = None) -> DataFrame:
     return members.groupBy("repo").applyInPandas(build, schema)
 
 
+def qualified(spark: SparkSession, directory: str) -> str:
+    """The folder with the scheme Spark resolves it to, for writers outside Spark."""
+    if ":" in directory:
+        return directory
+    spark.range(1).write.parquet(f"{directory}-probe")
+    file = spark.read.parquet(f"{directory}-probe").inputFiles()[0]
+    return file.rpartition("-probe/")[0]
+
+
 def stored_zip_dir(spark: SparkSession, sf_dir: str) -> str:
     """Write the archives of ``documents`` into a new shared folder."""
-    directory = shared_dir(spark, "archives")
+    directory = qualified(spark, shared_dir(spark, "archives"))
     written = zip_archives(archive_members(spark, sf_dir), directory).select("length")
     written.write.format("noop").mode("overwrite").save()
     return directory
