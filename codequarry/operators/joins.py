@@ -37,6 +37,7 @@ def keep_matching(
     A key set measured to be small is broadcast, so the rows do not move.  A larger one is joined by
     shuffle with a salt taken from the ``spread`` columns, so that a key holding a large share of all
     rows reaches many tasks; every key is repeated once per salt, which keeps the result exact.
+    ``keys`` is evaluated twice: persist it first where deriving it is costly.
     """
     wanted = keys.select(on).distinct()
     if fits_broadcast(wanted, max_rows, max_bytes):

@@ -1,3 +1,5 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from codequarry.functions import names
@@ -54,3 +56,23 @@ def test_urls_and_targets(spark):
     ).first()
     assert row.url == "https://github.com/u/r.js/archive/refs/heads/main.zip"
     assert row.target == "/data/zip/u-r.js.zip"
+
+
+def walk(path):
+    """(safe, file name) by following the path component by component."""
+    depth, safe, last = 0, not path.startswith("/") and "\u0000" not in path, None
+    for part in path.split("/"):
+        if part in ("", "."):
+            continue
+        depth += -1 if part == ".." else 1
+        safe = safe and depth >= 0
+        last = None if part == ".." else part
+    return safe, last
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(["a", "b.c", "..", ".", "", "...", "é"]), max_size=7)
+                .map("/".join), min_size=1, max_size=40))
+def test_paths_match_a_walk(column, paths):
+    assert column(names.is_safe_path, paths) == [walk(p)[0] for p in paths]
+    assert column(names.path_file_name, paths) == [walk(p)[1] for p in paths]

@@ -1,0 +1,32 @@
+import os
+
+from conftest import SF
+
+from codequarry import session
+
+
+def test_prepare_ships_the_package_once_and_keeps_own_settings(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, files = spark.conf.get(key), len(spark.sparkContext.listFiles)
+    spark.conf.set(key, "77")
+    try:
+        session.prepare(spark)
+        assert spark.conf.get(key) == "77"
+        assert len(spark.sparkContext.listFiles) == files
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_shared_dir_lies_in_the_checkpoint_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    first, second = (session.shared_dir(spark, "x") for _ in range(2))
+    assert first != second
+    if base:
+        assert os.path.dirname(first) == base.rstrip("/")
+
+
+def test_only_small_scans_are_spread(spark):
+    small = spark.read.parquet(f"{SF}/documents.parquet")
+    assert session.spread_scan(small).rdd.getNumPartitions() == 4
+    many = spark.range(100, numPartitions=9)
+    assert session.spread_scan(many) is many
