@@ -62,12 +62,17 @@ def main() -> None:
         repos = workload.archive_repos(spark, sf_dir)
         return corpus.extract(spark, repos, zips, vocabulary=workload.VOCABULARY)
 
+    def extract_unique():
+        repos = workload.archive_repos(spark, sf_dir)
+        return corpus.extract_unique(spark, repos, zips, vocabulary=workload.VOCABULARY)
+
     def dedupe():
         repos = workload.archive_repos(spark, sf_dir)
         return corpus.dedupe(spark, repos, written, layout="repo")
 
     steps = {name: lambda q=workload.QUERIES[name]: q(spark, sf_dir) for name in HEADLINES}
     steps["extract"] = extract
+    steps["extract_unique"] = extract_unique
     steps["write_records"] = lambda: write_records(extract(), written)
     steps["dedupe"] = dedupe
 

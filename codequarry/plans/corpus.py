@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codequarry.functions import names, text
 from codequarry.functions.tokens import token_counter
-from codequarry.operators.dedup import exact_dedup
+from codequarry.operators.dedup import content_survivors, exact_dedup
 from codequarry.operators.joins import keep_matching
 from codequarry.operators.languages import keep_languages, language_extensions
 from codequarry.schemas import CATEGORY, MAX_FILE_SIZE, RECORD_COLUMNS
@@ -84,16 +86,7 @@ def extract(
     them and ``add_tokens`` to what is left.  ``through_spark`` lets Spark read the archives as whole
     cells, for storage that executors cannot open through Arrow.
     """
-    keep_entries = None
-    if languages is not None:
-        if catalog is None:
-            raise ValueError("languages needs a catalog")
-        wanted = language_extensions(catalog, languages)
-
-        def keep_entries(entries: DataFrame) -> DataFrame:
-            named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
-            return keep_languages(named, wanted, file_name="_name").drop("_name")
-
+    keep_entries = _language_filter(languages, catalog)
     listed = archive_source.list_archives(spark, archive_dir, with_content=through_spark)
     matched = archive_source.match_archives(listed, repos, match)
     options = {"max_file_size": max_file_size, "keep_entries": keep_entries}
@@ -107,6 +100,62 @@ def extract(
     return add_tokens(records, vocabulary, special_as_text=special_as_text)
 
 
+def extract_unique(
+    spark: SparkSession,
+    repos: DataFrame,
+    archive_dir: str,
+    *,
+    vocabulary: str,
+    max_file_size: int = MAX_FILE_SIZE,
+    match: str = "exact",
+    languages: DataFrame | None = None,
+    catalog: DataFrame | None = None,
+    extension: str = "first_dot",
+    special_as_text: bool = False,
+    split_bytes: int = archive_source.SPLIT_BYTES,
+) -> DataFrame:
+    """What ``extract``, writing, and ``dedupe`` give, with no text written or shuffled in between.
+
+    The archives are read twice.  The first pass hashes texts and keeps the surviving ids; ids are a
+    function of the listing, so the second pass drops all other members before it inflates any, and
+    counts tokens of survivors only.
+    """
+    in_language = _language_filter(languages, catalog)
+    matched = archive_source.match_archives(
+        archive_source.list_archives(spark, archive_dir), repos, match
+    )
+    options = {"max_file_size": max_file_size, "split_bytes": split_bytes}
+    entries = archive_source.scan_archives(matched, keep_entries=in_language, **options)
+    survivors = content_survivors(assemble_records(entries)).select(F.col("id").alias("_id"))
+
+    def keep_survivors(listed: DataFrame) -> DataFrame:
+        made = text.stable_record_id(F.col("repo"), F.col("entry_name"), F.col("entry_index"))
+        kept = listed.withColumn("_id", made).join(survivors, "_id", "left_semi")
+        return kept.select(*listed.columns)
+
+    unique = archive_source.scan_archives(
+        matched, keep_entries=keep_survivors, regroup=True, **options
+    )
+    records = assemble_records(unique, extension=extension)
+    return add_tokens(records, vocabulary, special_as_text=special_as_text)
+
+
+def _language_filter(
+    languages: DataFrame | None, catalog: DataFrame | None
+) -> Callable[[DataFrame], DataFrame] | None:
+    if languages is None:
+        return None
+    if catalog is None:
+        raise ValueError("languages needs a catalog")
+    wanted = language_extensions(catalog, languages)
+
+    def keep_entries(entries: DataFrame) -> DataFrame:
+        named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
+        return keep_languages(named, wanted, file_name="_name").drop("_name")
+
+    return keep_entries
+
+
 def read_corpus(
     spark: SparkSession,
     directory: str,

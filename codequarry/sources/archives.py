@@ -7,6 +7,7 @@ and no content crosses a shuffle.
 
 from __future__ import annotations
 
+import functools
 import io
 from collections.abc import Callable, Iterator
 
@@ -155,6 +156,7 @@ def scan_archives(
     *,
     max_file_size: int = MAX_FILE_SIZE,
     keep_entries: Callable[[DataFrame], DataFrame] | None = None,
+    regroup: bool = False,
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Readable members of the archives with their content.
@@ -162,36 +164,36 @@ def scan_archives(
     The listing is spread over partitions of about ``split_bytes``.  An archive up to that size is
     listed and inflated within one task, with no shuffle.  The members of a larger one are shuffled
     as listing rows, without content, by byte range, so a huge archive is inflated by many tasks.
-    ``keep_entries`` is a DataFrame function that narrows the listing before anything is inflated.
+    ``keep_entries`` is a DataFrame function that narrows the listing before anything is inflated;
+    with ``regroup``, for one that shuffles the listing, all archives are handled as larger ones are.
     """
-    spark = archives.sparkSession
-    large = F.col("length") > split_bytes
+    is_large = F.lit(True) if regroup else F.col("length") > split_bytes
     sizes = archives.agg(
         F.count("*").alias("files"),
-        F.sum("length").alias("bytes"),
-        F.sum(F.when(large, F.col("length"))).alias("large_bytes"),
+        F.sum(F.when(~is_large, F.col("length"))).alias("small"),
+        F.sum(F.when(is_large, F.col("length"))).alias("large"),
     ).first()
+    # Explicit numbers: listing rows are tiny, so AQE would merge them all into one task.
+    floor = max(1, min(sizes["files"], archives.sparkSession.sparkContext.defaultParallelism))
 
-    def readable(part: DataFrame) -> DataFrame:
-        found = readable_entries(list_archive_entries(part), max_file_size)
-        return keep_entries(found) if keep_entries else found
+    def tasks(size: int | None) -> int:
+        return max(floor, min(-(-(size or 0) // split_bytes), _MAX_PARTITIONS))
 
-    def partitions(size: int | None) -> int:
-        return min(-(-(size or 0) // split_bytes), _MAX_PARTITIONS)
+    def readable(part: DataFrame, size: int | None) -> DataFrame:
+        entries = list_archive_entries(part.repartition(tasks(size)))
+        found = readable_entries(entries, max_file_size)
+        return keep_entries(found) if keep_entries else found
 
-    # Explicit numbers: listing rows are tiny, so AQE would merge them all into one task.
-    floor = min(sizes["files"], spark.sparkContext.defaultParallelism)
-    spread = max(partitions(sizes["bytes"]), floor, 1)
-    small = archives.filter(~large).repartition(spread)
-    scanned = inflate_entries(readable(small))
-    if sizes["large_bytes"]:
-        pieces = partitions(sizes["large_bytes"])
+    scans = []
+    if not regroup:
+        scans.append(inflate_entries(readable(archives.filter(~is_large), sizes["small"])))
+    if regroup or sizes["large"]:
         ranges = F.floor(F.col("header_offset") / split_bytes)
-        spread_large = archives.filter(large).repartition(pieces)
-        listed = readable(spread_large).repartition(pieces, "archive", ranges)
-        in_order = listed.sortWithinPartitions("archive", "header_offset")
-        scanned = scanned.unionByName(inflate_entries(in_order))
-    return scanned
+        listed = readable(archives.filter(is_large), sizes["large"])
+        spread = listed.repartition(tasks(sizes["large"]), "archive", ranges)
+        in_order = spread.sortWithinPartitions("archive", "header_offset")
+        scans.append(inflate_entries(in_order))
+    return functools.reduce(DataFrame.unionByName, scans)
 
 
 def expand_archives(

@@ -127,6 +127,24 @@ def test_tokens_may_be_counted_after_the_dedup(spark, folder, ranks, tmp_path):
     assert set(map(tuple, counted.collect())) == set(map(tuple, expected.collect()))
 
 
+@pytest.mark.parametrize("split_bytes", [None, 300])
+def test_unique_extraction_equals_extract_write_dedupe(spark, folder, ranks, tmp_path, split_bytes):
+    keys = listed(spark, "u/r", "u/r_x", "v/s", "u/bad")
+    catalog = spark.createDataFrame([("Python", "programming", [".py"])],
+                                    "language string, type string, extensions array<string>")
+    python = spark.createDataFrame([("Python",)], "language string")
+    options = {"vocabulary": ranks} | ({"split_bytes": split_bytes} if split_bytes else {})
+    for number, chosen in enumerate(({}, {"languages": python, "catalog": catalog})):
+        target = str(tmp_path / f"records{number}")
+        write_records(corpus.extract(spark, keys, folder, **options, **chosen), target)
+        expected = corpus.dedupe(spark, keys, target, layout="repo")
+        unique = corpus.extract_unique(spark, keys, folder, **options, **chosen)
+        assert unique.columns == expected.columns
+        rows = list(map(tuple, unique.collect()))
+        assert len(rows) == len(set(rows)) == (6 - 3 * number)
+        assert set(rows) == set(map(tuple, expected.collect()))
+
+
 def test_flat_files_of_another_writer(spark, tmp_path):
     template = ('{"text":"%s","id":"%s","file_extension":".py","category":"programming",'
                 '"path":"p","size_in_bytes":1,"file_name":"f","tokens":1}\n')

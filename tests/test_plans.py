@@ -83,6 +83,16 @@ def test_extraction_filters_between_listing_and_inflating(spark, tmp_path):
     assert plan.index("Exchange") > plan.index("MapInArrow listing")
 
 
+def test_unique_extraction_shuffles_no_content(spark, no_broadcast):
+    plan = executed(workload.QUERIES["extract_unique"](spark, SF))
+    lines = plan.splitlines()
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) >= 3
+    for number in shuffles:
+        assert not re.search(r"\b(content|text)#", lines[number + 1])
+    assert plan.index("MapInArrow inflating") < plan.index("LeftSemi")
+
+
 def test_repo_filter_prunes_folders_and_precedes_the_parse(spark, tmp_path):
     from codequarry.sinks.records import write_records
 

@@ -644,10 +644,25 @@ def extract_with_tokens(spark, sf_dir):
     return extracted(spark, sf_dir, VOCABULARY)
 
 
-@query(f"""
+_DEDUPED_SQL = f"""
     SELECT repo, path, md5(text) AS content_hash FROM (
       SELECT * FROM ({_EXTRACTED_SQL})
-      QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY id) = 1)""")
+      QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY id) = 1)"""
+
+
+@query(_DEDUPED_SQL)
+def extract_unique(spark, sf_dir):
+    unique = corpus.extract_unique(
+        spark,
+        archive_repos(spark, sf_dir),
+        stored_zip_dir(spark, sf_dir),
+        vocabulary=VOCABULARY,
+        max_file_size=_CAP,
+    )
+    return unique.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
+
+
+@query(_DEDUPED_SQL)
 def extract_write_dedupe(spark, sf_dir):
     directory = shared_dir(spark, "records")
     write_records(extracted(spark, sf_dir, VOCABULARY), directory)
