@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codequarry.functions import names, text
 from codequarry.functions.tokens import token_counter
 from codequarry.operators.dedup import content_survivors, exact_dedup
-from codequarry.operators.joins import keep_matching
+from codequarry.operators.joins import fits_broadcast, keep_matching
 from codequarry.operators.languages import keep_languages, language_extensions
 from codequarry.schemas import CATEGORY, MAX_FILE_SIZE, RECORD_COLUMNS
 from codequarry.sources import archives as archive_source
@@ -86,14 +86,17 @@ def extract(
     them and ``add_tokens`` to what is left.  ``through_spark`` lets Spark read the archives as whole
     cells, for storage that executors cannot open through Arrow.
     """
-    keep_entries = _language_filter(languages, catalog)
+    in_language = _language_filter(languages, catalog)
     listed = archive_source.list_archives(spark, archive_dir, with_content=through_spark)
     matched = archive_source.match_archives(listed, repos, match)
-    options = {"max_file_size": max_file_size, "keep_entries": keep_entries}
     if through_spark:
-        entries = archive_source.expand_archives(matched, **options)
+        entries = archive_source.expand_archives(
+            matched, max_file_size=max_file_size, keep_entries=in_language.get("keep_entries")
+        )
     else:
-        entries = archive_source.scan_archives(matched, split_bytes=split_bytes, **options)
+        entries = archive_source.scan_archives(
+            matched, max_file_size=max_file_size, split_bytes=split_bytes, **in_language
+        )
     records = assemble_records(entries, extension=extension, record_id=record_id)
     if vocabulary is None:
         return records
@@ -125,7 +128,7 @@ def extract_unique(
         archive_source.list_archives(spark, archive_dir), repos, match
     )
     options = {"max_file_size": max_file_size, "split_bytes": split_bytes}
-    entries = archive_source.scan_archives(matched, keep_entries=in_language, **options)
+    entries = archive_source.scan_archives(matched, **in_language, **options)
     survivors = content_survivors(assemble_records(entries)).select(F.col("id").alias("_id"))
 
     def keep_survivors(listed: DataFrame) -> DataFrame:
@@ -140,11 +143,10 @@ def extract_unique(
     return add_tokens(records, vocabulary, special_as_text=special_as_text)
 
 
-def _language_filter(
-    languages: DataFrame | None, catalog: DataFrame | None
-) -> Callable[[DataFrame], DataFrame] | None:
+def _language_filter(languages: DataFrame | None, catalog: DataFrame | None) -> dict:
+    """Options of an archive scan that keep the files of these languages."""
     if languages is None:
-        return None
+        return {}
     if catalog is None:
         raise ValueError("languages needs a catalog")
     wanted = language_extensions(catalog, languages)
@@ -153,7 +155,11 @@ def _language_filter(
         named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
         return keep_languages(named, wanted, file_name="_name").drop("_name")
 
-    return keep_entries
+    # Too many extensions for a broadcast are joined by a shuffle of the listing.
+    return {
+        "keep_entries": keep_entries,
+        "regroup": not fits_broadcast(wanted.select("extension").distinct()),
+    }
 
 
 def read_corpus(

@@ -66,15 +66,20 @@ def match_archives(archives: DataFrame, repos: DataFrame, match: str = "exact")
 
 
 def list_archive_entries(archives: DataFrame) -> DataFrame:
-    """Central directory rows of (archive, stem) rows; an unreadable archive gives one error row."""
+    """Central directory rows of (archive, stem) rows; an unreadable archive gives one error row.
+
+    Archives are opened by their path, or read from a ``content`` column where there is one.
+    """
     schema = to_arrow_schema(ENTRY)
+    columns = [name for name in ("archive", "stem", "content") if name in archives.columns]
 
     def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                yield from _batched(_entries_of(row["archive"], row["stem"]), schema)
+                entries = _entries_of(row["archive"], row["stem"], row.get("content"))
+                yield from _batched(entries, schema)
 
-    return archives.select("archive", "stem").mapInArrow(listing, ENTRY)
+    return archives.select(*columns).mapInArrow(listing, ENTRY)
 
 
 def _entries_of(archive: str, stem: str, content: bytes | None = None) -> Iterator[dict]:
@@ -205,7 +210,8 @@ def expand_archives(
     """Readable members of (archive, stem, content) rows, for archives held in a binary column.
 
     Every archive is one cell, so this suits archives well below the cell limit of 2 GiB on storage
-    that only Spark can open.  An unreadable archive gives no row.
+    that only Spark can open.  An unreadable archive gives no row here and an error row in
+    ``list_archive_entries``.
     """
     output = T.StructType([*ENTRY.fields, T.StructField("content", T.BinaryType())])
     schema = to_arrow_schema(output)

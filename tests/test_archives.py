@@ -101,6 +101,9 @@ def test_bad_archive_is_quarantined_and_the_others_go_on(spark, folder):
     entries = archives.list_archive_entries(archives.list_archives(spark, folder))
     errors = archives.archive_errors(entries).collect()
     assert [row.repo for row in errors] == ["u-bad"] and "BadZipFile" in errors[0].error
+    held = archives.list_archives(spark, folder, with_content=True)
+    errors = archives.archive_errors(archives.list_archive_entries(held)).collect()
+    assert [row.repo for row in errors] == ["u-bad"] and "BadZipFile" in errors[0].error
 
 
 def test_damaged_member_is_dropped_alone(spark, tmp_path):

@@ -3,6 +3,7 @@ import zipfile
 
 import pytest
 
+from codequarry.operators import joins
 from codequarry.operators.stats import corpus_stats
 from codequarry.plans import corpus
 from codequarry.schemas import RECORD_COLUMNS
@@ -82,7 +83,7 @@ def test_prefix_match_admits_suffixed_archives(spark, folder, ranks):
     assert {row.repo for row in prefix.collect()} == {"u-r", "u-r_x"}
 
 
-def test_language_filter(spark, folder, ranks):
+def test_language_filter(spark, folder, ranks, monkeypatch):
     catalog = spark.createDataFrame(
         [("Python", "programming", [".py"]), ("C", "programming", [".c", ".h"]),
          ("Markdown", "prose", [".md"])], "language string, type string, extensions array<string>")
@@ -93,6 +94,10 @@ def test_language_filter(spark, folder, ranks):
                                     vocabulary=ranks, languages=languages, catalog=catalog))
 
     assert run("Markdown", "C") == ["r-main/c.h", "r_x-main/d.md"]
+    with monkeypatch.context() as patch:
+        patch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
+        patch.setattr(joins.keep_matching, "__kwdefaults__", {"max_rows": 0, "max_bytes": 0})
+        assert run("Markdown", "C") == ["r-main/c.h", "r_x-main/d.md"]
     assert run("Cobol") == ["r-main/a.py", "r-main/c.h", "r-main/e.py", "r_x-main/copy.py"]
 
 

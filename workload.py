@@ -619,6 +619,21 @@ def extracted(spark: SparkSession, sf_dir: str, vocabulary: str | None) -> DataF
     )
 
 
+@query(f"SELECT DISTINCT repo AS stem FROM ({_MEMBER_SQL})")
+def archive_listing(spark, sf_dir):
+    return archives.list_archives(spark, stored_zip_dir(spark, sf_dir)).select("stem")
+
+
+@query(f"SELECT DISTINCT repo FROM ({_MEMBER_SQL}) WHERE source IN ('src3', 'src4')")
+def archive_errors(spark, sf_dir):
+    held = zip_archives(archive_members(spark, sf_dir))
+    # The end of a zip is its directory.
+    cut = F.substring("content", F.lit(1), F.octet_length("content") - 30)
+    damaged = F.col("stem").startswith("src3-") | F.col("stem").startswith("src4-")
+    held = held.withColumn("content", F.when(damaged, cut).otherwise(F.col("content")))
+    return archives.archive_errors(archives.list_archive_entries(held)).select("repo")
+
+
 @query(f"""
     SELECT repo, entry_index, path AS entry_name, CAST(size_in_bytes AS BIGINT) AS size_in_bytes,
            CASE WHEN broken THEN NULL ELSE md5(concat(chr(160), text, chr(10))) END AS content_hash
