@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing
+from . import byte_bpe, language, packing, secrets
 from .common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,9 +23,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, RANKS))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir), RANKS)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLES: dict[str, str] = {}
