@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language, packing, secrets
-from .common import documents
+from . import byte_bpe, curves, exact_topk, language, packing, secrets, simhash
+from .common import documents, embeddings
+from .vectors import usable
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +19,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), DEFINITION)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable(embeddings(spark, sf_dir))
+    return curves.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(documents(spark, sf_dir), RANKS)
     return byte_bpe.digests(byte_bpe.decode(encoded, RANKS))
@@ -31,11 +37,41 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(simhash.near_duplicates(documents(spark, sf_dir)))
+
+
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = exact_topk.quantized(embeddings(spark, sf_dir))
+    return exact_topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
+    "op9_simhash": op9_simhash,
+    "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(generate_series(1, len(q.v)), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        ) WHERE rank <= 5
+    """,
+}
