@@ -39,7 +39,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
     for begin in range(0, shingles, 1 << 14):
         some = range(begin, min(shingles, begin + (1 << 14)))
         hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), 42) for i in some), "<u8", len(some))
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > shingles, bitorder="little").tobytes(), "little")
 
 
