@@ -54,7 +54,7 @@ def materialize(rows: DataFrame, label: str) -> DataFrame:
 def bucket_count(rows: DataFrame, bytes_per_bucket: int = 8 << 20) -> int:
     """Number of buckets for work that is dealt out by hash; it follows the planner's size of the input."""
     spark = rows.sparkSession
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(size // bytes_per_bucket, 1 << 20))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, curves, exact_topk, language, packing, secrets, simhash
+from . import byte_bpe, curves, exact_topk, language, packing, secrets, simhash, substring_dedup
 from .common import documents, embeddings
 from .vectors import usable
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), DEFINITION)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.deduplicate(documents(spark, sf_dir)))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(embeddings(spark, sf_dir))
     return curves.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
@@ -48,6 +52,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
@@ -57,16 +62,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, i, array_to_string(list_slice(words, i, i + 49), ' ') AS run
+            FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM w WHERE len(words) >= 50)
+        ),
+        least AS (SELECT run, min(doc_id) AS doc_id FROM windows GROUP BY run HAVING count(DISTINCT doc_id) > 1),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS place
+            FROM (SELECT w.doc_id, w.i FROM windows w JOIN least l ON w.run = l.run AND w.doc_id > l.doc_id)
+        ),
+        removed AS (SELECT doc_id, list(place) AS ats FROM gone GROUP BY doc_id),
+        kept AS (
+            SELECT w.doc_id, len(w.words) AS n_words, len(coalesce(r.ats, [])) AS n_removed,
+                   array_to_string(
+                       CASE WHEN r.ats IS NULL THEN w.words
+                            ELSE list_filter(w.words, lambda x, i: NOT list_contains(r.ats, i)) END, ' ') AS text
+            FROM w LEFT JOIN removed r ON w.doc_id = r.doc_id
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+               sha256(text) AS kept_sha256
+        FROM kept
+    """,
     "op10_exact_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum(list_transform(generate_series(1, len(q.v)), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
         )
         SELECT query_id, rank, vec_id, score FROM (
