@@ -28,10 +28,12 @@ KEYS = ["doc_id", "mark"]
 Items = dict[str, np.ndarray]
 
 
-def marked(docs: DataFrame) -> DataFrame:
+def marked(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, mark, text``: rows of equal number and text (null: empty) are the same document twice."""
     text = F.coalesce(docs["text"], F.lit(""))
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
+    carried = [F.struct(*[docs[name] for name in carry]).alias("carried")] if carry else []
+    number = docs["doc_id"].cast("long").alias("doc_id")
+    return docs.select(number, F.hash(text).alias("mark"), text.alias("text"), *carried)
 
 
 def gather(parts: list[Items]) -> Items:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, materialize, texts
+from .common import KEY, join_by_key, list_array, materialize, texts
 from .components import connected_components
 
 _BITS = 64
@@ -305,24 +305,100 @@ def near_links(distinct: DataFrame, distance: int = 3, crowd: int = _CROWD) -> D
     return links
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int = _CROWD) -> DataFrame:
-    """``doc_id, text_hash, bits, component_id``: each document's fingerprint, and the least number it can reach.
+def components(docs: DataFrame, shingle: int = 3, distance: int = 3, crowd: int = _CROWD) -> DataFrame:
+    """``doc_id, text_hash, bits, component, component_id`` of each row of ``docs``.
 
-    A row for each row of ``docs``.  Documents of equal fingerprint count as one node; null numbers have
-    a component too, whose number is null if it has no other.
+    Documents of equal fingerprint are one node.  ``component_id`` is the least number that is reached;
+    it is null where no number is; ``component`` is a fingerprint of the component.
     """
     marked = materialize(fingerprints(docs, shingle), "fingerprints")
     groups = materialize(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     if groups.isEmpty():
-        return marked.withColumn("component_id", F.col("doc_id"))
+        return marked.withColumn("component", F.col("bits")).withColumn("component_id", F.col("doc_id"))
     found = connected_components(near_links(groups, distance, crowd))
     joined = groups.join(found, groups["bits"] == found["node"], "left").drop("node")
     joined = joined.withColumn("component", F.coalesce("component", "bits"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_bits = materialize(joined.join(least, "component").select("bits", "component_id"), "components")
-    return marked.join(by_bits, "bits").select(*KEY, "bits", "component_id")
+    by_bits = materialize(joined.join(least, "component").select("bits", "component", "component_id"), "components")
+    return marked.join(by_bits, "bits").select(*KEY, "bits", "component", "component_id")
 
 
 def digests(marked: DataFrame) -> DataFrame:
     written = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return marked.select("doc_id", written.alias("fingerprint"), "component_id")
+
+
+def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """``text`` replaced by the hashes of its distinct shingles (fewer words: of the whole sequence; none: none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                words = text.lower().split()
+                width = min(shingle, len(words))
+                count = len(words) - width + 1 if words else 0
+                hashes = (xxhash.xxh3_64_intdigest(b" ".join(words[i : i + width])) for i in range(count))
+                found.append(np.unique(np.fromiter(hashes, np.uint64, count)).view(np.int64))
+            kept = [name for name in batch.schema.names if name != "text"]
+            sets = list_array(np.concatenate([np.zeros(0, np.int64), *found]), [len(x) for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in kept], sets], names=[*kept, "shingles"])
+
+    binary = rows.select(*KEY, "component", F.col("text").cast("binary").alias("text"))
+    return binary.mapInArrow(run, "doc_id long, text_hash long, component long, shingles array<long>")
+
+
+def remove_near_duplicates(
+    docs: DataFrame,
+    shingle: int = 2,
+    distance: int = 6,
+    verified_shingle: int = 5,
+    similarity: float = 0.8,
+    rounds: int = 3,
+) -> DataFrame:
+    """``docs`` without near-duplicates: of each group the document with the smallest number stays.
+
+    SimHash components propose groups; within one, a document goes if the Jaccard similarity of its
+    ``verified_shingle``-word shingles with those of the group's first document is at least
+    ``similarity``.  What is not similar enough forms a group anew, ``rounds`` times.  Rows that repeat
+    number and text count as copies.  Null numbers come after all others; null texts have no words and
+    are alike.
+    """
+    found = materialize(components(docs, shingle, distance).select(*KEY, "component"), "proposed")
+    repeated = found.groupBy(*KEY).count().filter("count > 1").select(*KEY, F.lit(True).alias("repeated"))
+    distinct = found.dropDuplicates(KEY)
+    groups = distinct.groupBy("component").count().filter("count > 1").select("component")
+    members = distinct.join(groups, "component")
+    left = materialize(_shingle_sets(join_by_key(texts(docs), members, "inner").dropDuplicates(KEY), verified_shingle), "members")
+    removed = []
+    for _ in range(rounds):
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+        first = left.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash", "shingles"), order).alias("first"))
+        both = F.size(F.array_intersect("shingles", "first.shingles"))
+        union = F.size("shingles") + F.size("first.shingles") - both
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+        compared = materialize(
+            left.join(first, "component").filter(~own).withColumn("alike", (union == 0) | (both >= similarity * union)).drop("first"),
+            "compared",
+        )
+        removed.append(compared.filter("alike").select(*KEY))
+        left = compared.filter("not alike").drop("alike")
+        if left.isEmpty():
+            break
+    gone = removed[0]
+    for more in removed[1:]:
+        gone = gone.unionByName(more)
+    gone = gone.withColumn("gone", F.lit(True))
+    decisions = (
+        gone.unionByName(repeated, allowMissingColumns=True)
+        .groupBy(*KEY)
+        .agg(F.max("gone").alias("gone"), F.max("repeated").alias("repeated"))
+    )
+    rows = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"),
+        F.struct(*[docs[name] for name in docs.columns]).alias("row"),
+    )
+    decided = join_by_key(rows, decisions).filter("gone is null")
+    once = decided.filter("repeated").dropDuplicates(KEY)
+    return decided.filter("repeated is null").unionByName(once).select("row.*")

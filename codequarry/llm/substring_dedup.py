@@ -167,14 +167,16 @@ def repeated_windows(docs: DataFrame, window: int = 50, period: int | None = Non
     return settle(candidates.mapInArrow(_windows(window, period, buckets), PACKED), _repeated)
 
 
-def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, mark, n_words, n_removed, kept``: whole texts without words of windows seen before.
 
+    Columns named in ``carry`` come along as the struct ``carried``.
+
     A word is removed if a window over it also starts in a document with a smaller number; windows are
     judged on the input.  Null texts have no words; a null number is greater than all others; rows of
     equal number do not remove each other's words.  ``kept`` holds the other words, joined by spaces.
     """
-    rows = with_found(marked(docs), repeated_windows(docs, window, period), "left")
+    rows = with_found(marked(docs, carry), repeated_windows(docs, window, period), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,16 +194,18 @@ def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None) ->
                 kept.append(b" ".join(word for word, out in zip(words, gone.tolist()) if not out) if removed[-1] else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(name) for name in KEYS],
+                    *[batch.column(name) for name in same],
                     pa.array(counts, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array([text.decode() for text in kept], pa.string()),
                 ],
-                names=[*KEYS, "n_words", "n_removed", "kept"],
+                names=[*same, "n_words", "n_removed", "kept"],
             )
 
-    binary = rows.withColumn("text", F.col("text").cast("binary")).select(*KEYS, "text", "found")
-    return binary.mapInArrow(run, "doc_id long, mark int, n_words long, n_removed long, kept string")
+    same = [*KEYS, *(["carried"] if carry else [])]
+    binary = rows.withColumn("text", F.col("text").cast("binary")).select(*same, "text", "found")
+    kept = ", ".join(f"{name} {dict(binary.dtypes)[name]}" for name in same)
+    return binary.mapInArrow(run, f"{kept}, n_words long, n_removed long, kept string")
 
 
 def digests(deduplicated: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.digests(simhash.near_duplicates(documents(spark, sf_dir)))
+    return simhash.digests(simhash.components(documents(spark, sf_dir)))
 
 
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
