@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, curves, exact_topk, language, packing, secrets, simhash, substring_dedup
+from . import byte_bpe, class_ngrams, curves, exact_topk, language, packing, secrets, simhash, substring_dedup
 from .common import documents, embeddings
 from .vectors import usable
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), DEFINITION)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_ngrams.score_documents(documents(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.deduplicate(documents(spark, sf_dir)))
 
@@ -52,6 +56,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_byte_bpe": op6_byte_bpe,
