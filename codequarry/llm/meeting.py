@@ -20,9 +20,9 @@ from .common import list_array
 # The number, a hash of the text and the place in it; a null number sorts after all others.
 ORIGIN = ["doc", "mark", "at"]
 NO_NUMBER = np.iinfo(np.int64).max
-_KINDS = {"hash": np.int64, "check": np.int64, "doc": np.int64, "mark": np.int32, "at": np.int32}
-PACKED = "bucket int, hash array<long>, check array<long>, doc array<long>, mark array<int>, at array<int>"
-ANSWERS = "doc_id long, mark int, found array<int>"
+_KINDS = {"hash": np.int64, "check": np.int64, "doc": np.int64, "mark": np.int32, "at": np.int64}
+PACKED = "bucket int, hash array<long>, check array<long>, doc array<long>, mark array<int>, at array<long>"
+ANSWERS = "doc_id long, mark int, found array<long>"
 KEYS = ["doc_id", "mark"]
 
 Items = dict[str, np.ndarray]
@@ -77,12 +77,12 @@ def answers(items: Items) -> pa.RecordBatch | None:
     counts = np.diff(np.append(starts, len(doc)))
     numbers = pa.array(doc[starts], mask=doc[starts] == NO_NUMBER)
     return pa.RecordBatch.from_arrays(
-        [numbers, pa.array(mark[starts]), list_array(at, counts, pa.int32())], names=["doc_id", "mark", "found"]
+        [numbers, pa.array(mark[starts]), list_array(at, counts, pa.int64())], names=["doc_id", "mark", "found"]
     )
 
 
-def settle(packed: DataFrame, decide: Callable[[Items], np.ndarray]) -> DataFrame:
-    """``doc_id, mark, found``: early answers, and the items of each bucket for which ``decide`` is true."""
+def settle(packed: DataFrame, decide: Callable[[Items], Items]) -> DataFrame:
+    """``doc_id, mark, found``: early answers, and the origins that ``decide`` makes of each bucket's items."""
 
     def run(table: pa.Table) -> pa.Table:
         parts: dict[str, list] = {"asked": [], "answered": []}
@@ -92,10 +92,10 @@ def settle(packed: DataFrame, decide: Callable[[Items], np.ndarray]) -> DataFram
                 item = {name: x.to_numpy(zero_copy_only=False) if x is not None else np.zeros(0, _KINDS[name]) for name, x in item.items()}
                 parts["asked" if len(item["hash"]) else "answered"].append(item)
         asked = gather(parts["asked"])
-        found = [take({name: asked[name] for name in ORIGIN}, decide(asked))] if parts["asked"] else []
+        found = [decide(asked)] if parts["asked"] else []
         found += [{name: item[name] for name in ORIGIN} for item in parts["answered"]]
         batch = answers(gather(found)) if found else None
-        schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int32()), ("found", pa.list_(pa.int32()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int32()), ("found", pa.list_(pa.int64()))])
         return pa.Table.from_batches([batch.cast(schema)] if batch is not None else [], schema)
 
     settled = packed.groupBy("bucket").applyInArrow(run, ANSWERS)
@@ -108,6 +108,10 @@ def with_found(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return rows.join(right, rows["doc_id"].eqNullSafe(right["_doc"]) & (rows["mark"] == right["_mark"]), how).drop("_doc", "_mark")
 
 
+def origins(items: Items, which) -> Items:
+    return take({name: items[name] for name in ORIGIN}, which)
+
+
 def group_bounds(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorting order of the columns (the first leads), where each group of equal ones starts, and each row's group."""
     order = np.lexsort(columns[::-1])

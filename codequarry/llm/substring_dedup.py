@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucket_count
-from .meeting import KEYS, NO_NUMBER, PACKED, Items, gather, group_bounds, marked, sent, settle, take, with_found
+from .meeting import KEYS, NO_NUMBER, PACKED, Items, gather, group_bounds, marked, origins, sent, settle, take, with_found
 
 # Perfect difference covers by period.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -63,7 +63,7 @@ def _items(digests: np.ndarray, at: np.ndarray, doc: int | None, mark: int) -> I
         "check": digests[:, 1],
         "doc": np.full(len(at), number),
         "mark": np.full(len(at), mark, np.int32),
-        "at": at.astype(np.int32),
+        "at": at.astype(np.int64),
     }
 
 
@@ -82,7 +82,7 @@ def _speakers(items: Items, answer_least: bool, buckets: int) -> Iterator[pa.Rec
     several = items["doc"][last][pair_group] != least
     own = items["doc"] == least
     answered = ~own | (several & answer_least)
-    yield from sent(take(items, own), {name: take(items, answered)[name] for name in ("doc", "mark", "at")}, buckets)
+    yield from sent(take(items, own), origins(items, answered), buckets)
 
 
 def _anchors(window: int, period: int, buckets: int):
@@ -106,7 +106,7 @@ def _anchors(window: int, period: int, buckets: int):
     return run
 
 
-def _shared(items: Items) -> np.ndarray:
+def _shared(items: Items) -> Items:
     """Items whose hash occurs in more than one document."""
     order, starts, group = group_bounds(items["hash"], items["check"], items["doc"])
     _, pair_starts, pair_group = group_bounds(items["hash"], items["check"])
@@ -114,17 +114,17 @@ def _shared(items: Items) -> np.ndarray:
     several = doc[np.append(pair_starts[1:], len(doc)) - 1] != doc[pair_starts]
     out = np.zeros(len(doc), bool)
     out[order] = several[pair_group]
-    return out
+    return origins(items, out)
 
 
-def _repeated(items: Items) -> np.ndarray:
+def _repeated(items: Items) -> Items:
     """Items whose hash occurs in a document with a smaller number."""
     order, _, _ = group_bounds(items["hash"], items["check"], items["doc"])
     _, pair_starts, pair_group = group_bounds(items["hash"], items["check"])
     doc = items["doc"][order]
     out = np.zeros(len(doc), bool)
     out[order] = doc > doc[pair_starts][pair_group]
-    return out
+    return origins(items, out)
 
 
 def _windows(window: int, period: int, buckets: int):

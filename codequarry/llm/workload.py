@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, class_ngrams, curves, exact_topk, language, packing, secrets, simhash, substring_dedup
+from . import byte_bpe, class_ngrams, curves, exact_topk, language, packing, secrets, simhash, substring_dedup, suffix_dedup
 from .common import documents, embeddings
 from .vectors import usable
 
@@ -15,6 +15,10 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.deduplicate(documents(spark, sf_dir)))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), DEFINITION)
 
@@ -55,6 +59,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_substring_dedup": op4_substring_dedup,
