@@ -56,6 +56,8 @@ def bucket_count(rows: DataFrame, bytes_per_bucket: int = 8 << 20) -> int:
     spark = rows.sparkSession
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size > 1 << 60:  # tables made in memory have no known size
+        return least
     return max(least, min(size // bytes_per_bucket, 1 << 20))
 
 
