@@ -13,6 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import public_tokenizers  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 import workload  # noqa: E402
@@ -20,11 +21,12 @@ from codequarry.plans import corpus  # noqa: E402
 from codequarry.session import prepare, shared_dir  # noqa: E402
 from codequarry.sinks.records import write_records  # noqa: E402
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 HEADLINES = [
     "exact_dedup",
     "survivor_ids",
     "dedup_summary",
-    "token_counts",
     "corpus_stats",
     "repo_semi_join",
     "language_filter",
@@ -60,11 +62,11 @@ def main() -> None:
 
     def extract():
         repos = workload.archive_repos(spark, sf_dir)
-        return corpus.extract(spark, repos, zips, vocabulary=workload.VOCABULARY)
+        return corpus.extract(spark, repos, zips, vocabulary=VOCABULARY)
 
     def extract_unique():
         repos = workload.archive_repos(spark, sf_dir)
-        return corpus.extract_unique(spark, repos, zips, vocabulary=workload.VOCABULARY)
+        return corpus.extract_unique(spark, repos, zips, vocabulary=VOCABULARY)
 
     def dedupe():
         repos = workload.archive_repos(spark, sf_dir)

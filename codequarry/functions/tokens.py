@@ -90,9 +90,10 @@ def _load(kind: str, content: bytes, special_as_text: bool) -> Callable[[str], i
 
 
 def _count_or_none(count: Callable[[str], int], text: str | None) -> int | None:
+    """NULL for what encoders refuse: text that is no valid Unicode.  Other errors are not the text's."""
     if text is None:
         return None
     try:
         return count(text)
-    except Exception:
+    except (UnicodeError, TypeError):
         return None

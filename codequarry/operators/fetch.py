@@ -39,14 +39,13 @@ def fetch_plan(repos: DataFrame, archives: DataFrame, directory: str) -> DataFra
 
 
 def first_success(results: DataFrame) -> DataFrame:
-    """The branch that served each repository, as (user, name, branch).
+    """The branch that served each repository, as (user, name, branch): the one of least priority.
 
-    ``results`` has user, name, priority and succeeded; a repository whose every branch failed has
-    no row.
+    ``results`` has user, name, priority, branch and succeeded; a repository whose every branch failed
+    has no row.
     """
-    best = results.filter("succeeded").groupBy("user", "name").agg(F.min("priority").alias("best"))
-    branches = F.array(*[F.lit(branch) for branch in BRANCHES])
-    return best.select("user", "name", F.element_at(branches, F.col("best")).alias("branch"))
+    served = results.filter("succeeded").groupBy("user", "name")
+    return served.agg(F.min_by("branch", F.struct("priority", "branch")).alias("branch"))
 
 
 def reconcile_archives(fetched: DataFrame, stored: DataFrame) -> DataFrame:

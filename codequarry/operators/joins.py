@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 32 << 20
-_SALTS = 32
 
 
 def fits_broadcast(
@@ -23,16 +22,23 @@ def fits_broadcast(
     return found[0] <= max_rows and (found[1] or 0) <= max_bytes
 
 
+def salts_for(rows: DataFrame, bytes_per_task: int = 256 << 20) -> int:
+    """Parts for a key that holds a third of all rows, by the planner's size of the input; 32 where it is unknown."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return 32 if size > 1 << 60 else max(1, size // 3 // bytes_per_task)
+
+
 def keep_matching(
     rows: DataFrame,
     keys: DataFrame,
     on: str,
     *,
     spread: Sequence[str | Column],
+    also: Column | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``rows`` whose ``on`` value is among ``keys``.
+    """``rows`` whose ``on`` value is among ``keys``, and those for which ``also`` is true.
 
     A key set measured to be small is broadcast, so the rows do not move.  A larger one is joined by
     shuffle with a salt taken from the ``spread`` columns, so that a key holding a large share of all
@@ -40,9 +46,16 @@ def keep_matching(
     ``keys`` is evaluated twice: persist it first where deriving it is costly.
     """
     wanted = keys.select(on).distinct()
-    if fits_broadcast(wanted, max_rows, max_bytes):
-        return rows.join(F.broadcast(wanted), on, "left_semi").select(*rows.columns)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(_SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    repeated = wanted.withColumn("_salt", salts)
-    return salted.join(repeated, [on, "_salt"], "left_semi").select(*rows.columns)
+    small = fits_broadcast(wanted, max_rows, max_bytes)
+    columns, by = rows.columns, [on]
+    if small:
+        wanted = F.broadcast(wanted)
+    else:
+        salts = salts_for(rows)
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+        wanted = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        by = [on, "_salt"]
+    if also is None:
+        return rows.join(wanted, by, "left_semi").select(*columns)
+    found = rows.join(wanted.withColumn("_hit", F.lit(True)), by, "left")
+    return found.filter(F.col("_hit").isNotNull() | also).select(*columns)

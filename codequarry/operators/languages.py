@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.functions import names
@@ -37,10 +37,14 @@ def unknown_languages(catalog: DataFrame, requested: DataFrame) -> DataFrame:
 
 
 def keep_languages(
-    files: DataFrame, extensions: DataFrame, *, file_name: str = "file_name"
+    files: DataFrame,
+    extensions: DataFrame,
+    *,
+    file_name: str = "file_name",
+    also: Column | None = None,
 ) -> DataFrame:
-    """Files whose last-dot extension is among ``extensions``."""
+    """Files whose last-dot extension is among ``extensions``, and those for which ``also`` is true."""
     keys = extensions.select(F.col("extension").alias("_extension"))
     tagged = files.withColumn("_extension", names.last_dot_extension(F.col(file_name)))
-    kept = keep_matching(tagged, keys, "_extension", spread=[file_name])
+    kept = keep_matching(tagged, keys, "_extension", spread=[file_name], also=also)
     return kept.select(*files.columns)

@@ -18,10 +18,14 @@ from codequarry.sources import records as record_source
 
 
 def assemble_records(
-    entries: DataFrame, *, extension: str = "first_dot", record_id: str = "stable"
+    entries: DataFrame,
+    *,
+    extension: str = "first_dot",
+    record_id: str = "stable",
+    with_errors: bool = False,
 ) -> DataFrame:
     """Archive members with content as records without ``tokens``; members that are not UTF-8 text
-    are dropped.
+    are dropped, or with ``with_errors`` kept, like all error rows, with ``archive`` and ``error``.
 
     ``extension='last_dot'`` gives the suffix of the file name instead of everything after the first
     dot of the path.  ``record_id='uuid'`` gives random ids, which change whenever the records are
@@ -41,7 +45,14 @@ def assemble_records(
         if chosen not in options:
             raise ValueError(f"{chosen!r} is not one of {sorted(options)}")
     content = F.col("content").cast("string")
-    return entries.filter(F.is_valid_utf8(content)).select(
+    if with_errors:
+        not_text = F.when(~F.is_valid_utf8(content), "not UTF-8 text")
+        error = F.coalesce("error", not_text)
+        entries = entries.withColumn("error", error)
+        content, more = F.when(error.isNull(), content), ["archive", "error"]
+    else:
+        entries, more = entries.filter(F.is_valid_utf8(content)), []
+    return entries.select(
         text.trim_text(content).alias("text"),
         ids[record_id].alias("id"),
         extensions[extension].alias("file_extension"),
@@ -50,15 +61,23 @@ def assemble_records(
         "size_in_bytes",
         file_name.alias("file_name"),
         "repo",
+        *more,
     )
 
 
 def add_tokens(records: DataFrame, vocabulary: str, *, special_as_text: bool = False) -> DataFrame:
-    """Whole records: with ``tokens``, and without the texts a tokenizer refuses."""
+    """Whole records: with ``tokens``, and without the texts a tokenizer refuses.
+
+    Rows with an ``error`` column are all kept; a refused text gets an error.
+    """
     count_tokens = token_counter(
         records.sparkSession, vocabulary, special_as_text=special_as_text
     )
     counted = records.withColumn("tokens", count_tokens(F.col("text")))
+    if "error" in records.columns:
+        refused = F.when(F.col("tokens").isNull(), "refused by the tokenizer")
+        counted = counted.withColumn("error", F.coalesce("error", refused))
+        return counted.select(*RECORD_COLUMNS, "repo", "archive", "error")
     return counted.filter(F.col("tokens").isNotNull()).select(*RECORD_COLUMNS, "repo")
 
 
@@ -77,9 +96,15 @@ def extract(
     special_as_text: bool = False,
     split_bytes: int = archive_source.SPLIT_BYTES,
     through_spark: bool = False,
+    with_errors: bool = False,
 ) -> DataFrame:
     """Records of the archives of the listed repositories.
 
+    ``with_errors`` adds ``archive`` and ``error`` and keeps what else is left out with a reason: archives
+    that cannot be read, encrypted and damaged members, members that are no text or that the tokenizer
+    refuses.  Write such rows, then take ``accepted`` and ``rejected`` of them; the archives are listed
+    and read once for both.
+
     ``languages`` (with ``catalog``) keeps only files of these languages; the filter runs on the
     archive listing, before anything is inflated.  Without a ``vocabulary`` the records have no
     ``tokens``: counting is the costliest step, so it pays to write such records as Parquet, dedupe
@@ -89,20 +114,33 @@ def extract(
     in_language = _language_filter(languages, catalog)
     listed = archive_source.list_archives(spark, archive_dir, with_content=through_spark)
     matched = archive_source.match_archives(listed, repos, match)
+    common = {"max_file_size": max_file_size, "with_errors": with_errors}
     if through_spark:
         entries = archive_source.expand_archives(
-            matched, max_file_size=max_file_size, keep_entries=in_language.get("keep_entries")
+            matched, keep_entries=in_language.get("keep_entries"), **common
         )
     else:
         entries = archive_source.scan_archives(
-            matched, max_file_size=max_file_size, split_bytes=split_bytes, **in_language
+            matched, split_bytes=split_bytes, **in_language, **common
         )
-    records = assemble_records(entries, extension=extension, record_id=record_id)
+    records = assemble_records(
+        entries, extension=extension, record_id=record_id, with_errors=with_errors
+    )
     if vocabulary is None:
         return records
     return add_tokens(records, vocabulary, special_as_text=special_as_text)
 
 
+def accepted(rows: DataFrame) -> DataFrame:
+    """The records of ``extract(with_errors=True)``."""
+    return rows.filter(F.col("error").isNull()).drop("archive", "error")
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """The quarantine of ``extract(with_errors=True)``: (repo, archive, path, error)."""
+    return rows.filter(F.col("error").isNotNull()).select("repo", "archive", "path", "error")
+
+
 def extract_unique(
     spark: SparkSession,
     repos: DataFrame,
@@ -153,7 +191,8 @@ def _language_filter(languages: DataFrame | None, catalog: DataFrame | None) ->
 
     def keep_entries(entries: DataFrame) -> DataFrame:
         named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
-        return keep_languages(named, wanted, file_name="_name").drop("_name")
+        failed = F.col("error").isNotNull()
+        return keep_languages(named, wanted, file_name="_name", also=failed).drop("_name")
 
     # Too many extensions for a broadcast are joined by a shuffle of the listing.
     return {

@@ -7,12 +7,10 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
-_SMALL_SCAN_PARTITIONS = 64
-
 # Applied by ``prepare`` only where the session still has Spark's default.
 _SETTINGS = {
     # Texts run to 128 KiB each, so Arrow batches of the default 10,000 rows would be too large.
@@ -46,22 +44,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a local test) falls back to a temporary folder.
+    A local session without ``spark.checkpoint.dir`` gets a temporary folder.  On a cluster that would be
+    another folder on each machine, so a session without the setting raises there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="codequarry-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def spread_scan(rows: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores before CPU-heavy work.
-
-    A small file often is one row group and so one busy task.  A scan of at least
-    ``_SMALL_SCAN_PARTITIONS`` partitions, or of as many as there are cores, is returned as it is,
-    without a shuffle.  Meant for plain scans, whose partitions are known without running anything.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= min(cores, _SMALL_SCAN_PARTITIONS):
-        return rows
-    return rows.repartition(cores)

@@ -20,27 +20,27 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from codequarry.functions import names
 from codequarry.schemas import ENTRY, MAX_FILE_SIZE
 from codequarry.sources import zip_entries
-from codequarry.sources.folders import lies_directly_in
+from codequarry.sources.folders import folder_roots, lies_directly_in
 
 SPLIT_BYTES = 128 << 20
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 16 << 20
-_MAX_PARTITIONS = 200_000
 
 
 def list_archives(
     spark: SparkSession, directory: str, suffix: str = "zip", *, with_content: bool = False
 ) -> DataFrame:
-    """Files of one folder by suffix as (archive, length, stem).
+    """Files of one folder, or of each that a glob names, by suffix as (archive, length, stem).
 
     Contents are read only ``with_content``, which adds them as a column for ``expand_archives``.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = reader.option("pathGlobFilter", f"*.{suffix}").load(directory)
+    roots = folder_roots(spark, directory)
+    files = reader.option("pathGlobFilter", f"*.{suffix}").load(roots)
     path = F.col("path")
     stem = names.file_stem(names.base_file_name(path))
     content = ["content"] if with_content else []
-    return files.filter(lies_directly_in(path, directory)).select(
+    return files.filter(lies_directly_in(path, roots)).select(
         path.alias("archive"), "length", stem.alias("stem"), *content
     )
 
@@ -86,25 +86,32 @@ def _entries_of(archive: str, stem: str, content: bytes | None = None) -> Iterat
     common = {"repo": stem, "archive": archive}
     try:
         with zip_entries.open_archive(archive) if content is None else io.BytesIO(content) as stream:
-            for entry in zip_entries.list_entries(stream):
-                yield common | entry
-    except (*zip_entries.DAMAGE, FileNotFoundError, PermissionError) as error:
-        # Other storage errors fail the task, so that it is tried again.
+            try:
+                yield from [common | entry for entry in zip_entries.list_entries(stream)]
+            except zip_entries.DAMAGE:
+                # ``zipfile`` reports storage errors of its first reads as damage.
+                if storage_error := zip_entries.failure_of(stream):
+                    raise storage_error
+                raise
+    except zip_entries.DAMAGE as error:
+        # Storage errors, a vanished file among them, fail the task, so that it is tried again.
         yield common | {"error": f"{type(error).__name__}: {error}"}
 
 
 def archive_errors(entries: DataFrame) -> DataFrame:
-    """The quarantine of a listing: unreadable archives and encrypted members."""
+    """The quarantine of a listing or a scan: unreadable archives, encrypted and damaged members."""
     return entries.filter(F.col("error").isNotNull()).select(
         "repo", "archive", "entry_name", "error"
     )
 
 
-def readable_entries(entries: DataFrame, max_file_size: int = MAX_FILE_SIZE) -> DataFrame:
+def readable_entries(
+    entries: DataFrame, max_file_size: int = MAX_FILE_SIZE, *, with_errors: bool = False
+) -> DataFrame:
     """Members worth inflating: regular files with a dot in their path, a safe path and a bounded
-    size."""
+    size; ``with_errors`` also the error rows."""
     name = F.col("entry_name")
-    return entries.filter(
+    wanted = (
         F.col("error").isNull()
         & (F.instr(name, ".") > 0)
         & F.col("is_file")
@@ -112,10 +119,11 @@ def readable_entries(entries: DataFrame, max_file_size: int = MAX_FILE_SIZE) ->
         & names.is_safe_path(name)
         & names.path_file_name(name).isNotNull()
     )
+    return entries.filter(wanted | F.col("error").isNotNull() if with_errors else wanted)
 
 
 def inflate_entries(entries: DataFrame) -> DataFrame:
-    """Add ``content`` to listed members; damaged members are dropped."""
+    """Add ``content`` to listed members; a damaged one gets an ``error`` instead."""
     output = T.StructType([*entries.schema.fields, T.StructField("content", T.BinaryType())])
     schema = to_arrow_schema(output)
 
@@ -130,14 +138,16 @@ def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     try:
         for batch in batches:
             for row in batch.to_pylist():
+                if row["error"] is not None:
+                    yield row | {"content": None}
+                    continue
                 if row["archive"] != opened:
                     if stream is not None:
                         stream.close()
                     stream = zip_entries.open_archive(row["archive"])
                     opened = row["archive"]
-                content = zip_entries.read_entry(stream, row)
-                if content is not None:
-                    yield row | {"content": content}
+                content, error = zip_entries.read_entry(stream, row)
+                yield row | {"content": content, "error": error}
     finally:
         if stream is not None:
             stream.close()
@@ -163,9 +173,13 @@ def scan_archives(
     keep_entries: Callable[[DataFrame], DataFrame] | None = None,
     regroup: bool = False,
     split_bytes: int = SPLIT_BYTES,
+    with_errors: bool = False,
 ) -> DataFrame:
     """Readable members of the archives with their content.
 
+    Damaged ones are left out, or with ``with_errors`` kept as rows with an ``error`` and no content,
+    like archives that cannot be read and encrypted members.
+
     The listing is spread over partitions of about ``split_bytes``.  An archive up to that size is
     listed and inflated within one task, with no shuffle.  The members of a larger one are shuffled
     as listing rows, without content, by byte range, so a huge archive is inflated by many tasks.
@@ -182,11 +196,11 @@ def scan_archives(
     floor = max(1, min(sizes["files"], archives.sparkSession.sparkContext.defaultParallelism))
 
     def tasks(size: int | None) -> int:
-        return max(floor, min(-(-(size or 0) // split_bytes), _MAX_PARTITIONS))
+        return max(floor, -(-(size or 0) // split_bytes))
 
     def readable(part: DataFrame, size: int | None) -> DataFrame:
         entries = list_archive_entries(part.repartition(tasks(size)))
-        found = readable_entries(entries, max_file_size)
+        found = readable_entries(entries, max_file_size, with_errors=with_errors)
         return keep_entries(found) if keep_entries else found
 
     scans = []
@@ -198,7 +212,8 @@ def scan_archives(
         spread = listed.repartition(tasks(sizes["large"]), "archive", ranges)
         in_order = spread.sortWithinPartitions("archive", "header_offset")
         scans.append(inflate_entries(in_order))
-    return functools.reduce(DataFrame.unionByName, scans)
+    found = functools.reduce(DataFrame.unionByName, scans)
+    return found if with_errors else found.filter(F.col("error").isNull())
 
 
 def expand_archives(
@@ -206,12 +221,12 @@ def expand_archives(
     *,
     max_file_size: int = MAX_FILE_SIZE,
     keep_entries: Callable[[DataFrame], DataFrame] | None = None,
+    with_errors: bool = False,
 ) -> DataFrame:
     """Readable members of (archive, stem, content) rows, for archives held in a binary column.
 
     Every archive is one cell, so this suits archives well below the cell limit of 2 GiB on storage
-    that only Spark can open.  An unreadable archive gives no row here and an error row in
-    ``list_archive_entries``.
+    that only Spark can open.  ``with_errors`` is that of ``scan_archives``.
     """
     output = T.StructType([*ENTRY.fields, T.StructField("content", T.BinaryType())])
     schema = to_arrow_schema(output)
@@ -221,15 +236,15 @@ def expand_archives(
             for row in batch.to_pylist():
                 stream = io.BytesIO(row["content"])
                 for entry in _entries_of(row["archive"], row["stem"], row["content"]):
-                    wanted = entry["error"] is None and entry["is_file"]
-                    if wanted and entry["size_in_bytes"] <= max_file_size:
-                        content = zip_entries.read_entry(stream, entry)
-                        if content is not None:
-                            yield entry | {"content": content}
+                    if entry["error"] is not None:
+                        yield entry | {"content": None}
+                    elif entry["is_file"] and "." in entry["entry_name"] and entry["size_in_bytes"] <= max_file_size:
+                        content, error = zip_entries.read_entry(stream, entry)
+                        yield entry | {"content": content, "error": error}
 
     def expanding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batched(expanded(batches), schema)
 
     entries = archives.select("archive", "stem", "content").mapInArrow(expanding, output)
-    found = readable_entries(entries, max_file_size)
+    found = readable_entries(entries, max_file_size, with_errors=with_errors)
     return keep_entries(found) if keep_entries else found

@@ -1,27 +1,34 @@
-"""Restriction of a file scan to the direct children of one folder."""
+"""Restriction of a file scan to the direct children of folders."""
 
 from __future__ import annotations
 
-import posixpath
-import re
-
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+def folder_roots(spark: SparkSession, directory: str) -> list[str]:
+    """The folders that a path, relative path or glob names, as Spark reports them; raises if there is none.
+
+    Only the folders themselves are looked up; their files are listed by the scan.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(directory)
+    filesystem = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = filesystem.globStatus(filesystem.makeQualified(path))
+    roots = [status.getPath().toString() for status in found or [] if status.isDirectory()]
+    if not roots:
+        raise FileNotFoundError(f"no folder at {directory}")
+    return roots
 
 
-def lies_directly_in(path: Column, directory: str) -> Column:
-    """Whether a file path names a direct child of ``directory``.
+def lies_directly_in(path: Column, roots: list[str]) -> Column:
+    """Whether a file path names a direct child of one of the ``folder_roots``.
 
     Scans list with ``recursiveFileLookup``, because a plain scan would take ``key=value`` subfolders
     for partitions.
     """
-    root = posixpath.normpath(re.sub(_SCHEME, "", directory)).rstrip("/")
-    parent = F.regexp_replace(F.regexp_replace(path, _SCHEME, ""), "/[^/]*$", "")
-    if root.startswith("/") or not root:
-        return parent == root
-    return F.endswith(parent, F.lit(f"/{root}"))
+    one_slash = F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    return F.regexp_replace(one_slash, "/[^/]*$", "").isin([root.rstrip("/") for root in roots])
 
 
 def decoded_path(path: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from codequarry.functions import names
 from codequarry.schemas import RECORD
-from codequarry.sources.folders import decoded_path, lies_directly_in
-from codequarry.sources.repos import with_json
+from codequarry.sources.folders import decoded_path, folder_roots, lies_directly_in
+from codequarry.sources.repos import holds_one_value, with_json
 
 _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 
@@ -17,17 +17,18 @@ _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
 def scan_record_lines(spark: SparkSession, directory: str, *, layout: str = "file") -> DataFrame:
     """Raw lines with their repository: (value, repo).
 
-    ``layout='file'`` reads the ``<repo>.jsonl`` files of one folder, ``'repo'`` and ``'bucket'`` the
+    ``layout='file'`` reads the ``<repo>.jsonl`` files of one folder, or of each that a glob names, ``'repo'`` and ``'bucket'`` the
     ``repo=<repo>`` and ``repo_bucket=<n>`` folders of ``write_records``.
     """
     # Lines end at LF only; a CR before it is JSON white space.
     reader = spark.read.option("lineSep", "\n")
     if layout == "file":
         reader = reader.option("recursiveFileLookup", True)
-        lines = reader.option("pathGlobFilter", "*.jsonl").text(directory)
+        roots = folder_roots(spark, directory)
+        lines = reader.option("pathGlobFilter", "*.jsonl").text(roots)
         path = decoded_path(F.col("_metadata.file_path"))
         repo = names.file_stem(names.base_file_name(path))
-        return lines.filter(lies_directly_in(path, directory)).select("value", repo.alias("repo"))
+        return lines.filter(lies_directly_in(path, roots)).select("value", repo.alias("repo"))
     if layout == "repo":
         # The declared type keeps a repository named 007 from being read as a number.
         return reader.schema("value string, repo string").text(directory)
@@ -54,9 +55,9 @@ def parse_record_lines(lines: DataFrame) -> DataFrame:
     parsed = with_json(lines, line, F.col("value").alias("raw"), *others)
     # Fields are generated, too: it keeps them from being taken out of the value again per use.
     raw_fields = [_json_part(f"$[0].{field.name}", f"_{field.name}") for field in RECORD.fields]
-    parts = F.struct(*raw_fields, _json_part("$[1]", "_more"))
+    parts = F.struct(*raw_fields, holds_one_value().alias("_whole"))
     parsed = parsed.select("raw", *others, F.inline(F.array(parts)))
-    fits = F.col("_more").isNull()
+    fits = F.col("_whole")
     for field in RECORD.fields:
         fits = fits & _has_own_type(field)
     return parsed.select(

@@ -9,14 +9,23 @@ from codequarry.functions import names
 
 
 def with_json(lines: DataFrame, line: Column, *keep: Column | str) -> DataFrame:
-    """The ``keep`` columns and ``_json``, a one-element array around the JSON value of ``line``.
+    """The ``keep`` columns, ``_json``, an array of the JSON value of ``line`` and a mark, and ``_mark``.
 
-    The value is parsed inside brackets because the parser would ignore what follows a value.  The
-    parse is the input of a generator so that filters on its fields stay above it: pushed below,
-    they would parse every line once more per field.
+    The parser would ignore what follows a value.  So the value is parsed inside brackets and followed
+    by a hash of the line: a line that closes the bracket itself, ends early or goes on after its value
+    has something else, or nothing, in the second place.  The parse is the input of a generator so that
+    filters on its fields stay above it: pushed below, they would parse every line once more per field.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    return lines.select(*keep, F.explode(F.array(wrapped)).alias("_json"))
+    mark = F.xxhash64(line)
+    marked = F.concat(F.lit("["), line, F.lit(","), mark.cast("string"), F.lit("]"))
+    return lines.select(*keep, mark.alias("_mark"), F.explode(F.array(F.try_parse_json(marked))).alias("_json"))
+
+
+def holds_one_value() -> Column:
+    """Whether ``_json`` is one value and the mark, and nothing else."""
+    second = F.try_variant_get("_json", "$[1]", "long")
+    third = F.try_variant_get("_json", "$[2]", "variant")
+    return F.coalesce((second == F.col("_mark")) & third.isNull(), F.lit(False))
 
 
 def json_field(path: str, kind: str, data_type: str) -> Column:
@@ -24,8 +33,7 @@ def json_field(path: str, kind: str, data_type: str) -> Column:
     place = f"$[0]{path}"
     # A cast alone would also accept other types, such as numbers as strings.
     same_kind = F.schema_of_variant(F.try_variant_get("_json", place, "variant")) == kind
-    alone = F.try_variant_get("_json", "$[1]", "variant").isNull()
-    return F.when(alone & same_kind, F.try_variant_get("_json", place, data_type))
+    return F.when(holds_one_value() & same_kind, F.try_variant_get("_json", place, data_type))
 
 
 def parse_repos(lines: DataFrame, column: str = "value") -> DataFrame:

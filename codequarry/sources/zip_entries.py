@@ -49,10 +49,14 @@ def open_archive(path: str) -> BinaryIO:
 
 
 class _ArrowStream(io.RawIOBase):
-    """An Arrow file as a raw stream whose failed seeks are OSErrors, as ``zipfile`` expects."""
+    """An Arrow file as a raw stream whose failed seeks are OSErrors, as ``zipfile`` expects.
+
+    A failed read is remembered in ``failure``, because ``zipfile`` takes it for damage.
+    """
 
     def __init__(self, file):
         self._file = file
+        self.failure: OSError | None = None
 
     def readable(self) -> bool:
         return True
@@ -61,7 +65,11 @@ class _ArrowStream(io.RawIOBase):
         return True
 
     def readinto(self, buffer) -> int:
-        return self._file.readinto(buffer)
+        try:
+            return self._file.readinto(buffer)
+        except OSError as error:
+            self.failure = error
+            raise
 
     def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
         try:
@@ -78,6 +86,11 @@ class _ArrowStream(io.RawIOBase):
         super().close()
 
 
+def failure_of(stream: BinaryIO) -> OSError | None:
+    """The storage error that a stream of ``open_archive`` met, if any."""
+    return getattr(getattr(stream, "raw", None), "failure", None)
+
+
 def list_entries(stream: BinaryIO) -> Iterator[dict]:
     """Central directory rows in archive order; no member is inflated."""
     with zipfile.ZipFile(stream) as archive:
@@ -103,19 +116,20 @@ def _is_file(info: zipfile.ZipInfo) -> bool:
     return not (info.create_system == _UNIX and stat.S_ISLNK(mode))
 
 
-def read_entry(stream: BinaryIO, entry: dict) -> bytes | None:
-    """Inflate one listed member; None when its data is damaged.
+def read_entry(stream: BinaryIO, entry: dict) -> tuple[bytes | None, str | None]:
+    """The content of one listed member, or what is wrong with its data.
 
-    The output never exceeds the listed size, and the checksum must match.  Errors of the storage
-    itself are raised, so that the task is tried again.
+    Neither what is read nor what is inflated exceeds a bound that follows the listed size, whatever
+    the archive claims, and the checksum must match.  Errors of the storage itself are raised, so that
+    the task is tried again.
     """
     stream.seek(entry["header_offset"])
     header = stream.read(_LOCAL_HEADER_BYTES)
     skip = int.from_bytes(header[26:28], "little") + int.from_bytes(header[28:30], "little")
     stream.seek(skip, io.SEEK_CUR)
-    packed = stream
-    if entry["compressed_size"] <= 2 * entry["size_in_bytes"] + _BUFFER_BYTES:
-        packed = io.BytesIO(stream.read(entry["compressed_size"]))
+    # No method needs more than this for so few bytes; a larger claim runs out of data.
+    most = 2 * entry["size_in_bytes"] + _BUFFER_BYTES
+    packed = io.BytesIO(stream.read(min(entry["compressed_size"], most)))
     info = zipfile.ZipInfo("member")
     info.compress_type = entry["method"]
     info.compress_size = entry["compressed_size"]
@@ -123,8 +137,8 @@ def read_entry(stream: BinaryIO, entry: dict) -> bytes | None:
     info.CRC = entry["crc"]
     try:
         content = zipfile.ZipExtFile(packed, "r", info).read(info.file_size + 1)
-    except (*DAMAGE, OSError):
-        if packed is stream:
-            raise
-        return None
-    return content if len(content) == entry["size_in_bytes"] else None
+    except (*DAMAGE, OSError) as error:  # nothing but memory is read here
+        return None, f"damaged entry: {type(error).__name__}"
+    if len(content) != entry["size_in_bytes"]:
+        return None, "damaged entry: size differs"
+    return content, None

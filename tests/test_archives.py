@@ -136,6 +136,70 @@ def test_storage_errors_are_raised_for_a_retry():
         zip_entries.read_entry(Broken(), entry)
 
 
+class BrokenFile:
+    """An Arrow file whose reads fail after the first ``good`` bytes asked for."""
+
+    def __init__(self, data, good):
+        self.file, self.good = io.BytesIO(data), good
+
+    def readinto(self, buffer):
+        self.good -= len(buffer)
+        if self.good < 0:
+            raise OSError("connection reset")
+        return self.file.readinto(buffer)
+
+    def __getattr__(self, name):
+        return getattr(self.file, name)
+
+
+def test_storage_errors_while_listing_are_raised_for_a_retry(tmp_path, monkeypatch):
+    make_zip(tmp_path / "u-r.zip", [("a.py", b"1")])
+    data = (tmp_path / "u-r.zip").read_bytes()
+
+    def opened(path):
+        return io.BufferedReader(zip_entries._ArrowStream(BrokenFile(data, 0)), 64)
+
+    monkeypatch.setattr(zip_entries, "open_archive", opened)
+    with pytest.raises(OSError, match="connection reset"):
+        list(archives._entries_of("x.zip", "x"))
+
+
+def test_vanished_archives_are_raised_for_a_retry(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        list(archives._entries_of(str(tmp_path / "gone.zip"), "gone"))
+
+
+def test_a_lying_compressed_size_is_damage(spark, tmp_path):
+    path = tmp_path / "u-r.zip"
+    make_zip(path, [("a.py", b"some text " * 50), ("b.py", b"second")])
+    data = bytearray(path.read_bytes())
+    start = data.rindex(b"a.py") - 46
+    struct.pack_into("<I", data, start + 20, 0x7FFFFFFF)
+    data[30 + len("a.py"):30 + len("a.py") + 8] = b"\xff" * 8
+    path.write_bytes(data)
+    listed = archives.list_archives(spark, str(tmp_path))
+    for scan in (archives.scan_archives(listed, with_errors=True),
+                 archives.expand_archives(archives.list_archives(spark, str(tmp_path), with_content=True), with_errors=True)):
+        found = {row.entry_name: (row.error, row.content) for row in scan.collect()}
+        assert found["a.py"][0].startswith("damaged entry") and found["a.py"][1] is None
+        assert bytes(found["b.py"][1]) == b"second"
+
+
+def test_folder_forms_agree(spark, tmp_path, monkeypatch):
+    for place in ("zip", "zip/a/zip", "zip2"):
+        (tmp_path / place).mkdir(parents=True)
+        make_zip(tmp_path / place / f"{place.replace('/', '-')}.zip", [("a.py", b"1")])
+    monkeypatch.chdir(tmp_path)
+    listed = lambda directory: sorted(r.stem for r in archives.list_archives(spark, directory).collect())
+    for form in ("zip", f"{tmp_path}/zip", f"file://{tmp_path}/zip/", f"{tmp_path}/zip2/../zip", f"{tmp_path}/z[i]p"):
+        if form == "zip":
+            continue  # Spark's working folder is that of its start
+        assert listed(form) == ["zip"], form
+    assert listed(f"{tmp_path}/zip*") == listed(f"{tmp_path}/{{zip,zip2}}") == ["zip", "zip2"]
+    with pytest.raises(FileNotFoundError):
+        listed(f"{tmp_path}/none*")
+
+
 def test_name_with_nul_and_encrypted_member(spark, tmp_path):
     path = tmp_path / "u-r.zip"
     make_zip(path, [("aaaXb.py", b"1"), ("locked.py", b"2"), ("ok.py", b"3")])

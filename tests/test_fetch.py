@@ -18,13 +18,13 @@ def test_plan_covers_missing_repositories_once_in_branch_order(spark):
     ]
 
 
-def test_first_success_prefers_main(spark):
-    results = [("u", "a", 1, True), ("u", "a", 2, True), ("u", "b", 1, False), ("u", "b", 2, True),
-               ("u", "c", 1, False), ("u", "c", 2, False)]
+def test_first_success_gives_the_branch_of_least_priority(spark):
+    results = [("u", "a", 1, "trunk", True), ("u", "a", 2, "master", True), ("u", "b", 1, "main", False),
+               ("u", "b", 3, "dev", True), ("u", "c", 1, "main", False), ("u", "c", 2, "master", False)]
     rows = spark.createDataFrame(results, "user string, name string, priority int, "
-                                          "succeeded boolean")
+                                          "branch string, succeeded boolean")
     found = sorted(tuple(r) for r in fetch.first_success(rows).collect())
-    assert found == [("u", "a", "main"), ("u", "b", "master")]
+    assert found == [("u", "a", "trunk"), ("u", "b", "dev")]
 
 
 def test_reconcile(spark):

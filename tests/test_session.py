@@ -1,6 +1,6 @@
 import os
 
-from conftest import SF
+import pytest
 
 from codequarry import session
 
@@ -25,8 +25,14 @@ def test_shared_dir_lies_in_the_checkpoint_folder(spark):
         assert os.path.dirname(first) == base.rstrip("/")
 
 
-def test_only_small_scans_are_spread(spark):
-    small = spark.read.parquet(f"{SF}/documents.parquet")
-    assert session.spread_scan(small).rdd.getNumPartitions() == 4
-    many = spark.range(100, numPartitions=9)
-    assert session.spread_scan(many) is many
+def test_no_machine_local_folder_on_a_cluster():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster, "x")

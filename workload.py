@@ -6,12 +6,15 @@ archives are built), a record id is ``doc_id``.  Archives are zipped by Spark fr
 
 from __future__ import annotations
 
+import base64
+import functools
 import io
+import os
+import tempfile
 import zipfile
 from collections.abc import Callable
 
 import pandas as pd
-import public_tokenizers
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +25,22 @@ from codequarry.operators import dedup, fetch, languages, stats
 from codequarry.operators.joins import keep_matching
 from codequarry.plans import corpus
 from codequarry.schemas import WHITE_SPACE
-from codequarry.session import prepare, shared_dir, spread_scan
+from codequarry.session import prepare, shared_dir
 from codequarry.sinks.records import write_records
-from codequarry.sources import archives, records, repos
+from codequarry.sources import archives, catalog, records, repos
 from codequarry.sources.zip_entries import storage_uri
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+@functools.cache
+def small_vocabulary() -> str:
+    """A vocabulary of all bytes and one merge, ``on``, whose counts SQL can follow."""
+    path = os.path.join(tempfile.mkdtemp(prefix="codequarry-"), "small.tiktoken")
+    tokens = [bytes([byte]) for byte in range(256)] + [b"on"]
+    with open(path, "wb") as file:
+        for rank, token in enumerate(tokens):
+            file.write(base64.b64encode(token) + b" " + str(rank).encode() + b"\n")
+    return path
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -497,19 +510,14 @@ def total_records(spark, sf_dir):
     return stats.total_records(table(spark, sf_dir, "documents"))
 
 
-@query()
-def token_counts(spark, sf_dir):
-    documents = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    count = token_counter(spark, VOCABULARY)
-    return documents.select("doc_id", count(F.col("text")).alias("tokens"))
+_COUNT_SQL = "strlen(text) - (strlen(text) - strlen(replace(text, 'on', ''))) // 2"
 
 
-@query()
+@query(ORACLES["corpus_stats"].replace("n_chars", f"({_COUNT_SQL})"))
 def token_stats(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select(F.col("source").alias("repo"), "text")
-    count = token_counter(spark, VOCABULARY)
-    counted = spread_scan(documents).withColumn("tokens", count(F.col("text")))
-    return stats.corpus_stats(counted)
+    count = token_counter(spark, small_vocabulary())
+    return stats.corpus_stats(documents.withColumn("tokens", count(F.col("text"))))
 
 
 # --- archives, records and the compositions ---------------------------------------------------
@@ -568,7 +576,8 @@ def archive_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_archives(members: DataFrame, directory: str | None = None) -> DataFrame:
     """(archive, stem, length, content): a zip per repository, of at most ``_ARCHIVE_DOCS`` files.
 
-    With ``directory`` each zip is written there and ``content`` is left NULL.
+    With ``directory`` each zip is written there and ``content`` is left NULL.  Members with a ``flaw``
+    are stored with a changed byte, or their whole archive is cut short.
     """
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -578,7 +587,16 @@ def zip_archives(members: DataFrame, directory: str | None = None) -> DataFrame:
             out.writestr(zipfile.ZipInfo("main/"), b"")
             for path, content in zip(group["path"], group["content"]):
                 out.writestr(zipfile.ZipInfo(path), bytes(content), zipfile.ZIP_DEFLATED)
-        data, stem = buffer.getvalue(), group["repo"].iloc[0]
+        data, stem = bytearray(buffer.getvalue()), group["repo"].iloc[0]
+        if "flaw" in group:
+            with zipfile.ZipFile(io.BytesIO(bytes(data))) as made:
+                for path in group["path"][group["flaw"] == "damaged"]:
+                    info = made.getinfo(path)
+                    begin = info.header_offset + 30 + len(path.encode())
+                    data[begin] ^= 0xFF
+            if (group["flaw"] == "cut").any():
+                data = data[:-30]
+        data = bytes(data)
         archive = f"{directory or 'memory:'}/{stem}.zip"
         if directory:
             filesystem, inner = fs.FileSystem.from_uri(storage_uri(archive))
@@ -592,19 +610,14 @@ def zip_archives(members: DataFrame, directory: str | None = None) -> DataFrame:
     return members.groupBy("repo").applyInPandas(build, schema)
 
 
-def qualified(spark: SparkSession, directory: str) -> str:
-    """The folder with the scheme Spark resolves it to, for writers outside Spark."""
-    if ":" in directory:
-        return directory
-    spark.range(1).write.parquet(f"{directory}-probe")
-    file = spark.read.parquet(f"{directory}-probe").inputFiles()[0]
-    return file.rpartition("-probe/")[0]
-
-
-def stored_zip_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Write the archives of ``documents`` into a new shared folder."""
-    directory = qualified(spark, shared_dir(spark, "archives"))
-    written = zip_archives(archive_members(spark, sf_dir), directory).select("length")
+def stored_zip_dir(spark: SparkSession, sf_dir: str, members: DataFrame | None = None) -> str:
+    """Write archives, those of ``documents`` by default, into a new shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, "archives"))
+    filesystem = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    directory = filesystem.makeQualified(path).toString()
+    if members is None:
+        members = archive_members(spark, sf_dir)
+    written = zip_archives(members, directory).select("length")
     written.write.format("noop").mode("overwrite").save()
     return directory
 
@@ -654,9 +667,63 @@ def extract_records(spark, sf_dir):
     return extracted(spark, sf_dir, None)
 
 
-@query()
+@query(f"SELECT *, {_COUNT_SQL} AS tokens FROM ({_EXTRACTED_SQL})")
 def extract_with_tokens(spark, sf_dir):
-    return extracted(spark, sf_dir, VOCABULARY)
+    return extracted(spark, sf_dir, small_vocabulary())
+
+
+_IN_ARCHIVE = f"position('.' IN path) > 0 AND NOT contains(path, '..') AND size_in_bytes <= {_CAP}"
+
+
+@query(f"""
+    SELECT DISTINCT repo, CAST(NULL AS VARCHAR) AS path, 'archive' AS reason
+    FROM ({_MEMBER_SQL}) WHERE source = 'src3'
+    UNION ALL
+    SELECT repo, path, CASE WHEN source = 'src4' AND n_chars % 5 = 0 THEN 'damaged' ELSE 'encoding' END
+    FROM (SELECT m.*, d.n_chars FROM ({_MEMBER_SQL}) m JOIN documents d USING (doc_id))
+    WHERE {_IN_ARCHIVE} AND source NOT IN ('src3', 'src7')
+      AND (broken OR (source = 'src4' AND n_chars % 5 = 0))""")
+def extract_quarantine(spark, sf_dir):
+    listed = table(spark, sf_dir, "documents")
+    flaw = (
+        F.when(F.col("source") == "src3", "cut")
+        .when((F.col("source") == "src4") & (F.col("n_chars") % 5 == 0), "damaged")
+        .otherwise("")
+    )
+    members = archive_members(spark, sf_dir).join(listed.select("doc_id", flaw.alias("flaw")), "doc_id")
+    rows = corpus.extract(
+        spark,
+        archive_repos(spark, sf_dir),
+        stored_zip_dir(spark, sf_dir, members),
+        vocabulary=None,
+        max_file_size=_CAP,
+        with_errors=True,
+    )
+    reason = (
+        F.when(F.col("error").startswith("damaged"), "damaged")
+        .when(F.col("error") == "not UTF-8 text", "encoding")
+        .otherwise("archive")
+    )
+    return corpus.rejected(rows).select("repo", "path", reason.alias("reason"))
+
+
+@query(f"SELECT * FROM ({_EXTRACTED_SQL}) WHERE path LIKE '%.de' OR path LIKE '%.es'")
+def extract_languages(spark, sf_dir):
+    langs = table(spark, sf_dir, "documents").select("lang").distinct()
+    known = langs.select(
+        F.col("lang").alias("language"),
+        F.lit("programming").alias("type"),
+        F.array(F.concat(F.lit("."), "lang")).alias("extensions"),
+    )
+    return corpus.extract(
+        spark,
+        archive_repos(spark, sf_dir),
+        stored_zip_dir(spark, sf_dir),
+        vocabulary=None,
+        max_file_size=_CAP,
+        languages=known.filter("language in ('de', 'es')").select("language"),
+        catalog=known,
+    )
 
 
 _DEDUPED_SQL = f"""
@@ -671,7 +738,7 @@ def extract_unique(spark, sf_dir):
         spark,
         archive_repos(spark, sf_dir),
         stored_zip_dir(spark, sf_dir),
-        vocabulary=VOCABULARY,
+        vocabulary=small_vocabulary(),
         max_file_size=_CAP,
     )
     return unique.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
@@ -680,7 +747,7 @@ def extract_unique(spark, sf_dir):
 @query(_DEDUPED_SQL)
 def extract_write_dedupe(spark, sf_dir):
     directory = shared_dir(spark, "records")
-    write_records(extracted(spark, sf_dir, VOCABULARY), directory)
+    write_records(extracted(spark, sf_dir, small_vocabulary()), directory)
     kept = corpus.dedupe(
         spark, archive_repos(spark, sf_dir), directory, layout="repo"
     )
@@ -732,3 +799,67 @@ def record_scan(spark, sf_dir):
 def malformed_records(spark, sf_dir):
     parsed = records.parse_record_lines(record_lines(spark, sf_dir))
     return records.malformed_records(parsed).drop("raw")
+
+
+@query(_DEDUPED_SQL)
+def dedupe_written(spark, sf_dir):
+    """The deduplicated records as they are written and read back."""
+    directory, unique = shared_dir(spark, "records"), shared_dir(spark, "unique")
+    write_records(extracted(spark, sf_dir, small_vocabulary()), directory, fmt="parquet")
+    kept = corpus.dedupe(spark, archive_repos(spark, sf_dir), directory, layout="parquet")
+    write_records(kept, unique, cluster=True)
+    back = corpus.read_corpus(spark, unique, layout="repo")
+    return back.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
+
+
+@query(f"""
+    SELECT layout, repo, path, md5(text) AS content_hash
+    FROM ({_EXTRACTED_SQL}), (VALUES ('bucket'), ('parquet'), ('repo')) AS l(layout)""")
+def read_layouts(spark, sf_dir):
+    """Records written and read in each folder layout."""
+    written = shared_dir(spark, "records")
+    write_records(extracted(spark, sf_dir, small_vocabulary()), written, fmt="parquet")
+    rows = corpus.read_corpus(spark, written, layout="parquet")
+    found = [("parquet", rows)]
+    for layout, options in (("repo", {}), ("bucket", {"buckets": 3})):
+        directory = shared_dir(spark, "records")
+        write_records(rows, directory, **options)
+        found.append((layout, corpus.read_corpus(spark, directory, layout=layout)))
+    content = text.content_hash(F.col("text")).alias("content_hash")
+    parts = [part.select(F.lit(layout).alias("layout"), "repo", "path", content) for layout, part in found]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+    SELECT concat(lang, '-', source) AS repo_key, count(*) AS listed FROM documents
+    WHERE n_chars % 4 <> 1 GROUP BY 1""")
+def repo_list_file(spark, sf_dir):
+    """A written list: a quarter of its lines go on after their string, and are malformed."""
+    line = F.concat(F.lit('"'), F.concat_ws("/", "lang", "source"), F.lit('"'))
+    ends = F.element_at(F.array(F.lit(""), F.lit("] junk"), F.lit(" "), F.lit("\t")), (F.col("n_chars") % 4 + 1).cast("int"))
+    directory = shared_dir(spark, "list")
+    table(spark, sf_dir, "documents").select(F.concat(line, ends).alias("value")).write.text(directory)
+    valid = repos.valid_repos(repos.scan_repo_list(spark, directory))
+    return valid.groupBy("repo_key").agg(F.count("*").alias("listed"))
+
+
+@query("""
+    SELECT shape, lang AS language, 'programming' AS type, concat('.', lang) AS extension
+    FROM (SELECT DISTINCT lang FROM documents), (VALUES ('array'), ('lines'), ('map')) AS s(shape)""")
+def catalog_scan(spark, sf_dir):
+    """A catalog written in each of its three shapes."""
+    langs = table(spark, sf_dir, "documents").select("lang").distinct()
+    entry = F.struct(F.lit("programming").alias("type"), F.array(F.concat(F.lit("."), "lang")).alias("extensions"))
+    row = F.struct(F.col("lang").alias("language"), entry["type"].alias("type"), entry["extensions"].alias("extensions"))
+    shapes = {
+        "lines": langs.select(F.to_json(row)),
+        "array": langs.agg(F.to_json(F.collect_list(row))),
+        "map": langs.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("lang"), entry))))),
+    }
+    parts = []
+    for shape, lines in shapes.items():
+        directory = shared_dir(spark, "catalog")
+        lines.coalesce(1).write.text(directory)
+        found = catalog.scan_catalog(spark, directory)
+        parts.append(found.select(F.lit(shape).alias("shape"), "language", "type", F.explode("extensions").alias("extension")))
+    return functools.reduce(DataFrame.unionByName, parts)
