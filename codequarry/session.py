@@ -18,6 +18,9 @@ _SETTINGS = {
     # Lets AQE turn the sort-merge join of records and survivor ids into a shuffled hash join, which
     # leaves the texts unsorted, when every build partition was measured to be below this size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": ("0b", "64m"),
+    # A task keeps this many partition folders open, so that records are written as they come; only
+    # beyond that are its rows, texts included, sorted by folder first.
+    "spark.sql.maxConcurrentOutputFileWriters": ("0", "64"),
 }
 
 

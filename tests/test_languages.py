@@ -58,3 +58,20 @@ def test_file_filter_uses_the_last_extension(spark, catalog):
                                   "file_name string")
     kept = languages.keep_languages(files, languages.programming_extensions(catalog))
     assert pairs(kept) == [(".h",), ("a.c",), ("x.tar.h",)]
+
+
+@pytest.mark.parametrize("content", [
+    '{"language": "A", "type": "programming", "extensions": [".a"]}\n\n{"language": "B", "extensions": [".b"]}\n',
+    '[{"language": "A", "type": "programming", "extensions": [".a"]},\n {"language": "B", "extensions": [".b"]}]',
+    '{"A": {"type": "programming", "extensions": [".a"]},\n "B": {"extensions": [".b"]}}',
+])
+def test_catalog_shapes(spark, tmp_path, content):
+    (tmp_path / "catalog.json").write_text(content)
+    found = sorted(map(tuple, scan_catalog(spark, str(tmp_path / "catalog.json")).collect()))
+    assert found == [("A", "programming", [".a"]), ("B", None, [".b"])]
+
+
+def test_a_catalog_without_rows_raises(spark, tmp_path):
+    (tmp_path / "catalog.json").write_text("[]")
+    with pytest.raises(ValueError):
+        scan_catalog(spark, str(tmp_path / "catalog.json"))

@@ -160,3 +160,14 @@ def test_very_long_text(spark, tmp_path):
     parsed = scanned(spark, tmp_path, f"{long}\n{line()}\n".encode())
     found = records.valid_records(parsed).selectExpr("char_length(text) AS n").collect()
     assert sorted(r.n for r in found) == [12, 20_000_000]
+
+
+@pytest.mark.parametrize("tail", ["] junk", "],[", ",", "],{}", " {}", "]", ",1]"])
+def test_text_after_the_record_makes_a_line_malformed(spark, tail):
+    import json
+
+    record = {"text": "a", "id": "1", "file_extension": ".py", "category": "c", "path": "p",
+              "size_in_bytes": 1, "file_name": "f", "tokens": 1}
+    lines = spark.createDataFrame([(json.dumps(record) + tail,), (json.dumps(record),)], "value string")
+    parsed = records.parse_record_lines(lines)
+    assert records.valid_records(parsed).count() == 1 and records.malformed_records(parsed).count() == 1

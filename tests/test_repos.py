@@ -1,3 +1,5 @@
+import pytest
+
 from codequarry.sources import repos
 
 LINES = ['"a/b"', '"a\\/b"', "3", '{"a":1}', "bad", "", "   ", '"a"', '"a/b/c"', '"/b"', '"a/b"',
@@ -27,3 +29,10 @@ def test_each_line_is_parsed_once(spark, tmp_path):
     parsed = repos.valid_repos(repos.scan_repo_list(spark, write(tmp_path / "repos.jsonl")))
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+@pytest.mark.parametrize("tail", ['] junk', '],["c/d"', ',', ',"c/d"', '"', ' x', ']', ',1]', '],1'])
+def test_text_after_the_value_makes_a_line_malformed(spark, tail):
+    lines = spark.createDataFrame([('"a/b"' + tail,), ('"c/d" ',)], "value string")
+    found = {r.raw: r.is_malformed for r in repos.parse_repos(lines).collect()}
+    assert found == {'"a/b"' + tail: True, "c/d": False}
