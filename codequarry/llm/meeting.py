@@ -37,8 +37,8 @@ def marked(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 
 def gather(parts: list[Items]) -> Items:
-    names = parts[0] if parts else _KINDS
-    return {name: np.concatenate([part[name] for part in parts]) if parts else np.zeros(0, _KINDS[name]) for name in names}
+    names = parts[0] if parts else ORIGIN
+    return {name: np.concatenate([np.zeros(0, _KINDS[name]), *[part[name] for part in parts]]) for name in names}
 
 
 def take(items: Items, which) -> Items:
@@ -46,9 +46,11 @@ def take(items: Items, which) -> Items:
 
 
 def _packed(buckets: np.ndarray, items: Items) -> pa.RecordBatch | None:
+    """One row a bucket; what ``items`` do not have is left empty."""
     if not len(buckets):
         return None
-    order = np.argsort(buckets, kind="stable")
+    # By document, so that numbers and marks come in runs, which compress well.
+    order = np.lexsort((items["at"], items["doc"], buckets))
     buckets = buckets[order]
     starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
     counts = np.diff(np.append(starts, len(buckets)))
@@ -59,47 +61,73 @@ def _packed(buckets: np.ndarray, items: Items) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays(columns, names=["bucket", *_KINDS])
 
 
+def _by_document(items: Items, buckets: int) -> np.ndarray:
+    mixed = items["doc"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
 def sent(asks: Items, answered: Items, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows of what is asked (by its hash) and of what is answered already (by its document)."""
-    for where, items in ((asks["hash"].view(np.uint64), asks), (answered["doc"].view(np.uint64), answered)):
-        batch = _packed((where % np.uint64(buckets)).astype(np.int32), items)
+    asked_in = (asks["hash"].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+    for where, items in ((asked_in, asks), (_by_document(answered, buckets), answered)):
+        batch = _packed(where, items)
         if batch is not None:
             yield batch
 
 
-def answers(items: Items) -> pa.RecordBatch | None:
+def _unpacked(table: pa.Table) -> Iterator[Items]:
+    """The rows of a bucket; empty arrays are left out."""
+    for batch in table.to_batches():
+        for i in range(len(batch)):
+            values = {name: batch.column(name)[i].values for name in _KINDS}
+            yield {name: x.to_numpy(zero_copy_only=False) for name, x in values.items() if x is not None and len(x)}
+
+
+def _answer_rows(items: Items) -> pa.Table:
     """One row for each document with the places found in it."""
-    if not len(items["doc"]):
-        return None
     order = np.lexsort((items["at"], items["mark"], items["doc"]))
     doc, mark, at = (items[name][order] for name in ORIGIN)
-    starts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])]))
+    other = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+    new = np.concatenate([[True], other | (at[1:] != at[:-1])]) if len(at) else np.zeros(0, bool)
+    doc, mark, at = doc[new], mark[new], at[new]
+    starts = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])) if len(at) else np.zeros(0, np.int64)
     counts = np.diff(np.append(starts, len(doc)))
-    numbers = pa.array(doc[starts], mask=doc[starts] == NO_NUMBER)
-    return pa.RecordBatch.from_arrays(
-        [numbers, pa.array(mark[starts]), list_array(at, counts, pa.int64())], names=["doc_id", "mark", "found"]
-    )
+    numbers = pa.array(doc[starts], pa.int64(), mask=doc[starts] == NO_NUMBER)
+    marks = pa.array(mark[starts].astype(np.int32))
+    return pa.Table.from_arrays([numbers, marks, list_array(at, counts, pa.int64())], names=["doc_id", "mark", "found"])
+
+
+def delivered(found: DataFrame) -> DataFrame:
+    """``doc_id, mark, found`` of packed rows whose buckets are those of the documents; one row a document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return _answer_rows(gather([{name: item[name] for name in ORIGIN} for item in _unpacked(table)]))
+
+    return found.groupBy("bucket").applyInArrow(run, ANSWERS)
+
+
+def packed_answers(items: Items, buckets: int) -> pa.Table:
+    """Origins as packed rows on their way to their documents."""
+    empty = pa.schema([("bucket", pa.int32()), *[(name, pa.list_(pa.from_numpy_dtype(kind))) for name, kind in _KINDS.items()]])
+    batch = _packed(_by_document(items, buckets), items)
+    return pa.Table.from_batches([batch.cast(empty)] if batch is not None else [], empty)
 
 
-def settle(packed: DataFrame, decide: Callable[[Items], Items]) -> DataFrame:
+def settle(packed: DataFrame, decide: Callable[[Items], Items], buckets: int) -> DataFrame:
     """``doc_id, mark, found``: early answers, and the origins that ``decide`` makes of each bucket's items."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts: dict[str, list] = {"asked": [], "answered": []}
-        for row in table.to_batches():
-            for i in range(len(row)):
-                item = {name: row.column(name)[i].values for name in _KINDS}
-                item = {name: x.to_numpy(zero_copy_only=False) if x is not None else np.zeros(0, _KINDS[name]) for name, x in item.items()}
-                parts["asked" if len(item["hash"]) else "answered"].append(item)
-        asked = gather(parts["asked"])
-        found = [decide(asked)] if parts["asked"] else []
-        found += [{name: item[name] for name in ORIGIN} for item in parts["answered"]]
-        batch = answers(gather(found)) if found else None
-        schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int32()), ("found", pa.list_(pa.int64()))])
-        return pa.Table.from_batches([batch.cast(schema)] if batch is not None else [], schema)
-
-    settled = packed.groupBy("bucket").applyInArrow(run, ANSWERS)
-    return settled.groupBy(*KEYS).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found"))
+        asked, found = [], []
+        for item in _unpacked(table):
+            if "hash" in item:
+                asked.append(item)
+            else:
+                found.append(item)
+        if asked:
+            found.append(decide(gather(asked)))
+        return packed_answers(gather(found), buckets)
+
+    return delivered(packed.groupBy("bucket").applyInArrow(run, PACKED))
 
 
 def with_found(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:

@@ -36,11 +36,11 @@ class _Words:
         self.ends = np.cumsum(lengths + 1) - 1
         self.starts = self.ends - lengths
 
-    def digests(self, at: np.ndarray, width: int) -> np.ndarray:
-        """Two 64-bit hashes of the ``width`` words from each place."""
+    def digests(self, at: np.ndarray, width: int, digest) -> np.ndarray:
+        """Hashes of the ``width`` words from each place, as columns of 64 bits."""
         text, begins, ends = self.joined, self.starts[at].tolist(), self.ends[at + width - 1].tolist()
-        found = b"".join([xxhash.xxh3_128_digest(text[begin:end]) for begin, end in zip(begins, ends)])
-        return np.frombuffer(found, "<i8").reshape(-1, 2)
+        found = b"".join([digest(text[begin:end]) for begin, end in zip(begins, ends)])
+        return np.frombuffer(found, "<i8").reshape(len(at), -1)
 
 
 def period_for(window: int) -> int:
@@ -58,31 +58,29 @@ def anchor_places(count: int, window: int, period: int) -> np.ndarray:
 
 def _items(digests: np.ndarray, at: np.ndarray, doc: int | None, mark: int) -> Items:
     number = NO_NUMBER if doc is None else doc
-    return {
-        "hash": digests[:, 0],
-        "check": digests[:, 1],
-        "doc": np.full(len(at), number),
-        "mark": np.full(len(at), mark, np.int32),
-        "at": at.astype(np.int64),
-    }
+    hashes = {name: digests[:, i] for i, name in enumerate(("hash", "check")[: digests.shape[1]])}
+    where = {"doc": np.full(len(at), number), "mark": np.full(len(at), mark, np.int32), "at": at.astype(np.int64)}
+    return hashes | where
+
+
+def _by_hash(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by hash and document; of each item there: its document, and the least and greatest of its hash."""
+    hashes = [items[name] for name in ("hash", "check") if name in items]
+    order, _, _ = group_bounds(*hashes, items["doc"])
+    _, starts, group = group_bounds(*hashes)
+    doc = items["doc"][order]
+    return order, doc, doc[starts][group], doc[np.append(starts[1:], len(doc)) - 1][group]
 
 
 def _speakers(items: Items, answer_least: bool, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Of each hash the item of the least document asks; the items of other documents are answered.
+    """Of each hash the items of the least document ask; those of other documents are answered.
 
-    ``answer_least``: the asking item is answered too if another document was there.
+    ``answer_least``: the asking items are answered too if another document was there.
     """
-    order, starts, group = group_bounds(items["hash"], items["check"], items["doc"])
-    pair_order, pair_starts, pair_group = group_bounds(items["hash"], items["check"])
+    order, doc, least, greatest = _by_hash(items)
     items = take(items, order)
-    # Both orders agree on hash and check, so the groups by pair can be counted in the finer order.
-    pair_start_of = pair_starts[pair_group]
-    least = items["doc"][pair_start_of]
-    last = np.append(pair_starts[1:], len(order)) - 1
-    several = items["doc"][last][pair_group] != least
-    own = items["doc"] == least
-    answered = ~own | (several & answer_least)
-    yield from sent(take(items, own), origins(items, answered), buckets)
+    answered = (doc != least) | ((greatest != least) & answer_least)
+    yield from sent(take(items, doc == least), origins(items, answered), buckets)
 
 
 def _anchors(window: int, period: int, buckets: int):
@@ -95,7 +93,7 @@ def _anchors(window: int, period: int, buckets: int):
                 words = _Words(text)
                 at = anchor_places(words.count, window, period)
                 if len(at):
-                    held.append(_items(words.digests(at, width), at, doc, mark))
+                    held.append(_items(words.digests(at, width, xxhash.xxh3_64_digest), at, doc, mark))
                     count += len(at)
                 if count > _FLUSH:
                     yield from _speakers(gather(held), True, buckets)
@@ -108,23 +106,14 @@ def _anchors(window: int, period: int, buckets: int):
 
 def _shared(items: Items) -> Items:
     """Items whose hash occurs in more than one document."""
-    order, starts, group = group_bounds(items["hash"], items["check"], items["doc"])
-    _, pair_starts, pair_group = group_bounds(items["hash"], items["check"])
-    doc = items["doc"][order]
-    several = doc[np.append(pair_starts[1:], len(doc)) - 1] != doc[pair_starts]
-    out = np.zeros(len(doc), bool)
-    out[order] = several[pair_group]
-    return origins(items, out)
+    order, _, least, greatest = _by_hash(items)
+    return origins(items, order[least != greatest])
 
 
 def _repeated(items: Items) -> Items:
     """Items whose hash occurs in a document with a smaller number."""
-    order, _, _ = group_bounds(items["hash"], items["check"], items["doc"])
-    _, pair_starts, pair_group = group_bounds(items["hash"], items["check"])
-    doc = items["doc"][order]
-    out = np.zeros(len(doc), bool)
-    out[order] = doc > doc[pair_starts][pair_group]
-    return origins(items, out)
+    order, doc, least, _ = _by_hash(items)
+    return origins(items, order[doc > least])
 
 
 def _windows(window: int, period: int, buckets: int):
@@ -143,7 +132,7 @@ def _windows(window: int, period: int, buckets: int):
                 begins = np.arange(words.count - window + 1)
                 at = begins[before[begins + window - width + 1] > before[begins]]
                 if len(at):
-                    held.append(_items(words.digests(at, window), at, doc, mark))
+                    held.append(_items(words.digests(at, window, xxhash.xxh3_128_digest), at, doc, mark))
                     count += len(at)
                 if count > _FLUSH:
                     yield from _speakers(gather(held), False, buckets)
@@ -162,9 +151,9 @@ def repeated_windows(docs: DataFrame, window: int = 50, period: int | None = Non
     buckets = bucket_count(docs)
     rows = marked(docs)
     texts = rows.withColumn("text", F.col("text").cast("binary"))
-    anchors = settle(texts.mapInArrow(_anchors(window, period, buckets), PACKED), _shared)
+    anchors = settle(texts.mapInArrow(_anchors(window, period, buckets), PACKED), _shared, buckets)
     candidates = with_found(rows, anchors, "inner").withColumn("text", F.col("text").cast("binary"))
-    return settle(candidates.mapInArrow(_windows(window, period, buckets), PACKED), _repeated)
+    return settle(candidates.mapInArrow(_windows(window, period, buckets), PACKED), _repeated, buckets)
 
 
 def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -23,7 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucket_count, materialize
-from .meeting import ANSWERS, KEYS, NO_NUMBER, PACKED, Items, answers, gather, group_bounds, marked, origins, sent, settle, take, with_found
+from .meeting import (
+    KEYS,
+    NO_NUMBER,
+    PACKED,
+    Items,
+    delivered,
+    gather,
+    group_bounds,
+    marked,
+    origins,
+    packed_answers,
+    sent,
+    settle,
+    take,
+    with_found,
+)
 
 GRAM = 8
 _SPARSE_BITS = 5  # one position in 32 is a trigger
@@ -246,7 +261,7 @@ def repeated_strings(hashes, first, last, data: list[bytes], length: int) -> tup
     return np.concatenate(nothing + rows), np.concatenate(nothing + distances)
 
 
-def _sorted_meeting(length: int):
+def _sorted_meeting(length: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         columns = {name: table.column(name).to_numpy() for name in ("hash", "check", "doc", "mark", "at", "kind", "a0", "a1")}
         known = table.column("known").to_numpy(zero_copy_only=False).astype(bool)
@@ -268,9 +283,7 @@ def _sorted_meeting(length: int):
             found.append(part)
         for part in found:
             part["at"] = _code(part["at"], NONE, REPEATS)
-        batch = answers(gather(found))
-        schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int32()), ("found", pa.list_(pa.int64()))])
-        return pa.Table.from_batches([batch.cast(schema)] if batch is not None else [], schema)
+        return packed_answers(gather(found), buckets)
 
     return run
 
@@ -282,12 +295,12 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = _CROWD) -> tuple[Da
     buckets = bucket_count(docs)
     rows = marked(docs)
     binary = rows.withColumn("text", F.col("text").cast("binary"))
-    first = settle(binary.mapInArrow(_parsed(length, buckets), PACKED), _first_meeting(crowd))
+    first = settle(binary.mapInArrow(_parsed(length, buckets), PACKED), _first_meeting(crowd), buckets)
     first = materialize(first, "first-meeting")
     open_ones = first.filter(F.exists("found", lambda code: code.bitwiseAND(3) != REPEATS))
     asked = with_found(rows, open_ones, "inner").withColumn("text", F.col("text").cast("binary"))
     around = asked.select(*KEYS, "text", "found").mapInArrow(_surroundings(length, buckets), _SURROUNDINGS)
-    second = around.groupBy("bucket").applyInArrow(_sorted_meeting(length), ANSWERS)
+    second = delivered(around.groupBy("bucket").applyInArrow(_sorted_meeting(length, buckets), PACKED))
     both = first.unionByName(second).groupBy(*KEYS).agg(F.flatten(F.collect_list("found")).alias("found"))
     return rows, both
 
