@@ -109,7 +109,8 @@ def delivered(found: DataFrame) -> DataFrame:
 def packed_answers(items: Items, buckets: int) -> pa.Table:
     """Origins as packed rows on their way to their documents."""
     empty = pa.schema([("bucket", pa.int32()), *[(name, pa.list_(pa.from_numpy_dtype(kind))) for name, kind in _KINDS.items()]])
-    batch = _packed(_by_document(items, buckets), items)
+    # Fewer buckets of documents than of hashes, since each of these sends a row to each of those.
+    batch = _packed(_by_document(items, max(8, buckets // 8)), items)
     return pa.Table.from_batches([batch.cast(empty)] if batch is not None else [], empty)
 
 
