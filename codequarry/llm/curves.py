@@ -8,6 +8,7 @@ by the exact measure.  Equal vectors share one place on a curve and are told apa
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import list_array, materialize
 from .vectors import blockwise, padded
 
 
@@ -150,20 +151,54 @@ def nearest(
         scores = query_vectors @ vectors.T
         few = min(k + 1, scores.shape[1])
         least = np.partition(scores, -few, axis=1)[:, -few]
-        ids, found, values = [], [], []
+        found, values = [], []
         for i in range(len(query_ids)):
             at = np.flatnonzero(scores[i] >= least[i])
             at = at[np.lexsort((row_ids[at], -scores[i][at]))[:few]]
             # The sum component by component, so that it doesn't depend on the block.
-            exact = np.cumsum(query_vectors[i] * vectors[at], axis=1)[:, -1]
-            ids += [query_ids[i]] * len(at)
-            found += [numbers[j] for j in at.tolist()]
-            values += exact.tolist()
+            values.append(np.cumsum(query_vectors[i] * vectors[at], axis=1)[:, -1])
+            found.append([numbers[j] for j in at.tolist()])
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(values, pa.float64())],
-            names=["query_id", "numbers", "score"],
+            [
+                pa.array(query_ids),
+                pa.array(found, pa.list_(pa.list_(pa.int64()))),
+                list_array(np.concatenate(values), [few] * len(values), pa.float64()),
+            ],
+            names=["query_id", "numbers", "scores"],
         )
 
+    def best(own: int, parts: list[tuple[list, list]]) -> list[tuple[float, int]]:
+        """The k best of what the blocks and curves found for a query, as negative score and number."""
+        every = {
+            (-score, number)
+            for numbers, scores in parts
+            for equal, score in zip(numbers, scores)
+            for number in equal
+            if number != own
+        }
+        return heapq.nsmallest(k, every)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def ranked(own: int, parts: list) -> pa.RecordBatch:
+            kept = best(own, parts)
+            columns = [[own] * len(kept), range(1, len(kept) + 1), [number for _, number in kept], [-score for score, _ in kept]]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64()]
+            arrays = [pa.array(list(column), kind) for column, kind in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names=["query_id", "rank", "vec_id", "score"])
+
+        own, parts = None, []
+        for batch in batches:
+            for query, numbers, scores in zip(*(batch.column(name).to_pylist() for name in ("query_id", "numbers", "scores"))):
+                if query != own and parts:
+                    yield ranked(own, parts)
+                    parts = []
+                own = query
+                parts.append((numbers, scores))
+                if len(parts) > 64:  # keep what the best are made of
+                    parts = [([[number] for _, number in kept], [-score for score, _ in kept]) for kept in [best(own, parts)]]
+        if parts:
+            yield ranked(own, parts)
+
     base = F.col("curve").cast("long") * blocks
     wide = min(blocks, max(1, math.ceil(window * blocks)))
     first = F.least(F.greatest(F.col("at") - wide // 2, F.lit(0)), F.lit(blocks - wide))
@@ -173,14 +208,8 @@ def nearest(
         rows.withColumn("at", block_of("curve", "key")).select((base + F.col("at")).alias("block"), "id", "vector", "extra"),
         asked.withColumn("at", block_of("curve", "key")).select(targets, "id", "vector", no_extra),
         search,
-        "query_id long, numbers array<long>, score double",
+        "query_id long, numbers array<array<long>>, scores array<double>",
         size,
     )
-    merged = (
-        found.select("query_id", F.explode("numbers").alias("vec_id"), "score")
-        .filter("query_id != vec_id")
-        .groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-    )
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    together = found.repartition("query_id").sortWithinPartitions("query_id")
+    return together.mapInArrow(merged, "query_id long, rank int, vec_id long, score double")
