@@ -23,6 +23,7 @@ UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 5
+_AT_ONCE = 10_000
 
 
 def _grams(word: str, length: int) -> list[str]:
@@ -32,20 +33,38 @@ def _grams(word: str, length: int) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Per language and kind (0: words, n: n-grams of n letters): log frequencies, and what unseen ones get."""
+    """Rows of log frequencies by language, and the row of each word (at 0) and n-gram (at its length)."""
 
     languages: tuple[str, ...]
-    logs: dict[tuple[int, str], np.ndarray]
-
-    def word(self, word: str) -> np.ndarray:
-        found = self.logs.get((0, word))
-        if found is not None:
-            return found
+    rows: tuple[dict[str, int], ...]
+    table: np.ndarray
+
+    def word(self, word: str) -> list[int]:
+        """The rows whose mean is the word's score; none if not even a letter was learned."""
+        known = self.rows[0].get(word)
+        if known is not None:
+            return [known]
         for length in range(min(_LONGEST, len(word) + 2), 0, -1):
-            known = [log for gram in _grams(word, length) if (log := self.logs.get((length, gram))) is not None]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages))
+            learned = self.rows[length]
+            found = [learned[gram] for gram in _grams(word, length) if gram in learned]
+            if found:
+                return found
+        return []
+
+    def forms(self, forms: list[str]) -> np.ndarray:
+        """Scores of forms: strings without white space, of which the runs of letters are words."""
+        rows, weights, owners = [], [], []
+        for owner, form in enumerate(forms):
+            for word in _WORD.findall(form):
+                found = self.word(word)
+                rows += found
+                weights += [1 / len(found)] * len(found) if found else []
+                owners += [owner] * len(found)
+        out = np.zeros((len(forms), len(self.languages)))
+        values = self.table[rows] * np.array(weights)[:, None]
+        for language in range(len(self.languages)):
+            out[:, language] = np.bincount(owners, weights=values[:, language], minlength=len(forms))
+        return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,14 +124,16 @@ def train(
 
     languages = tuple(sorted(row["lang"] for row in top))
     number = {language: i for i, language in enumerate(languages)}
-    logs: dict[tuple[int, str], np.ndarray] = {}
-    for kind, rows in kept.groupby("kind"):
-        codes, grams = rows["gram"].factorize()
+    rows: list[dict[str, int]] = [{} for _ in range(_LONGEST + 1)]
+    tables, size = [np.zeros((0, len(languages)))], 0
+    for kind, part in kept.groupby("kind"):
+        codes, grams = part["gram"].factorize()
         table = np.zeros((len(grams), len(languages)))
-        table[codes, rows["lang"].map(number)] = rows["n"]
-        table = np.log((table + 0.5) / (table.sum(axis=0) + 0.5 * (len(grams) + 1)))
-        logs |= {(int(kind), gram): table[i] for i, gram in enumerate(grams)}
-    return Model(languages, logs)
+        table[codes, part["lang"].map(number)] = part["n"]
+        tables.append(np.log((table + 0.5) / (table.sum(axis=0) + 0.5 * (len(grams) + 1))))
+        rows[int(kind)] = {gram: size + i for i, gram in enumerate(grams)}
+        size += len(grams)
+    return Model(languages, tuple(rows), np.concatenate(tables))
 
 
 def predict(docs: DataFrame, model: Model, kept: int = 150_000) -> DataFrame:
@@ -127,26 +148,21 @@ def predict(docs: DataFrame, model: Model, kept: int = 150_000) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = broadcast.value
         places: dict[str, int] = {}
-        table = np.zeros((kept + 1, len(learned.languages)))
+        table = np.zeros((kept + _AT_ONCE, len(learned.languages)))
 
-        def place(form: str) -> int:
-            words = _WORD.findall(form)
-            scores = sum((learned.word(word) for word in words), np.zeros(len(learned.languages)))
-            places[form] = at = len(places)
-            table[at] = scores
-            return at
+        def scored(forms: list[str]) -> np.ndarray:
+            if len(places) > kept:
+                places.clear()
+            new = list(set(forms).difference(places))
+            table[len(places) : len(places) + len(new)] = learned.forms(new)
+            places.update(zip(new, range(len(places), len(places) + len(new))))
+            return table[np.fromiter(map(places.__getitem__, forms), np.int64, len(forms))].sum(axis=0)
 
         def predicted(text: str | None) -> tuple[str, float]:
             if not text or not learned.languages or not _LETTER.search(text):
                 return UNDETERMINED, 0.0
             forms = text.lower().split()
-            total = np.zeros(len(learned.languages))
-            for begin in range(0, len(forms), 10_000):
-                some = forms[begin : begin + 10_000]
-                if len(places) + len(some) > kept:
-                    places.clear()
-                at = [places[form] if form in places else place(form) for form in some]
-                total += np.bincount(at, minlength=len(places)) @ table[: len(places)] if len(at) > len(places) else table[at].sum(axis=0)
+            total = sum(scored(forms[begin : begin + _AT_ONCE]) for begin in range(0, len(forms), _AT_ONCE))
             odds = np.exp(total - total.max())
             best = int(odds.argmax())
             return learned.languages[best], float(odds[best] / odds.sum())
