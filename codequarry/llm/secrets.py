@@ -2,7 +2,8 @@
 
 A merge vocabulary spells words with few tokens and random strings with many: a run of key letters
 that yields few characters a token is random.  Runs that overlap a span found already, known digests,
-identifiers, plain numbers and words of one case are excluded before the test.
+identifiers of words, plain numbers and words of one case are excluded before the test.  Readable words
+that are glued to a random string do not hide it: the parts of a run are tested too.
 """
 
 from __future__ import annotations
@@ -30,9 +31,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+_LEAST = 20
 _UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}")
 _IDENTIFIER = re.compile(r"[A-Za-z]+(?:[_/-][A-Za-z]+)*[_/-]?[0-9]{0,6}|[0-9_/+=-]+|[_/+=-]+")
 _DIGEST = re.compile(r"(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128})")
+_KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{_UUID.pattern}|{_DIGEST.pattern})(?![A-Za-z0-9])")
+_LETTERS = re.compile(r"[A-Za-z]+")
+_DIVISIONS = (re.compile(r"=+"), re.compile(r"[=/]+"), re.compile(r"[=/_-]+"))
+_PIECE = re.compile(r"[A-Za-z0-9+]+[=/_-]*|[=/_-]+")
 
 Span = tuple[int, int, int]
 
@@ -49,16 +55,56 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans)
 
 
+def _mixed(run: str) -> bool:
+    """Whether upper case, lower case and digits are not all but one missing."""
+    return sum(any(map(test, run)) for test in (str.isupper, str.islower, str.isdigit)) >= 2
+
+
+def _is_identifier(run: str, coder, max_chars_per_token: float) -> bool:
+    """Whether a run has the form of an identifier, and its letters are spelt with few tokens as words are."""
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    letters = _LETTERS.findall(run)
+    return sum(map(len, letters)) >= max_chars_per_token * sum(len(coder.encode_ordinary(part)) for part in letters)
+
+
 def is_random(run: str, coder, max_chars_per_token: float) -> bool:
     """Whether a run of key letters is no digest or identifier and is spelt with few characters a token."""
-    if _UUID.fullmatch(run) or _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run):
-        return False
-    classes = [any(map(test, run)) for test in (str.isupper, str.islower, str.isdigit)]
-    if sum(classes) < 2:
+    if _UUID.fullmatch(run) or _DIGEST.fullmatch(run) or not _mixed(run) or _is_identifier(run, coder, max_chars_per_token):
         return False
     return len(run) / len(coder.encode_ordinary(run)) < max_chars_per_token
 
 
+def _least_efficient(run: str, coder, max_chars_per_token: float) -> str:
+    """Of the sequences of pieces with ``_LEAST`` letters, the one that has most tokens beyond the bound."""
+    best, most, low = "", 0.0, (0.0, 0)
+    starts: list[tuple[int, float]] = []
+    total, ready = 0.0, 0
+    for piece in _PIECE.finditer(run):
+        starts.append((piece.start(), total))
+        total += max_chars_per_token * len(coder.encode_ordinary(piece.group())) - len(piece.group())
+        while ready < len(starts) and piece.end() - starts[ready][0] >= _LEAST:
+            at, before = starts[ready]
+            low = min(low, (before, at)) if ready else (before, at)
+            ready += 1
+        if ready and total - low[0] > most:
+            best, most = run[low[1] : piece.end()], total - low[0]
+    return best.strip("=/_-")
+
+
+def has_random_part(run: str, coder, max_chars_per_token: float) -> bool:
+    """Whether a part of a run between separators, or a sequence of such parts, is random by itself."""
+    if not _mixed(run):
+        return False
+    for between in _KNOWN.split(run):
+        parts = {part for division in _DIVISIONS for part in division.split(between)} - {run}
+        if len(between) >= _LEAST:
+            parts.add(_least_efficient(between, coder, max_chars_per_token))
+        if any(len(part) >= _LEAST and is_random(part, coder, max_chars_per_token) for part in parts):
+            return True
+    return False
+
+
 def joined(spans: list[Span]) -> list[tuple[int, int]]:
     """Sorted spans as stretches that do not overlap."""
     out: list[tuple[int, int]] = []
@@ -71,7 +117,7 @@ def joined(spans: list[Span]) -> list[tuple[int, int]]:
 
 
 def random_spans(text: str, known: list[Span], coder, max_chars_per_token: float) -> list[Span]:
-    """Runs of 20 or more key letters that overlap no known span and are random."""
+    """Runs of 20 or more key letters that overlap no known span and are random or have a random part."""
     spans, taken, at = [], joined(known), 0
     for match in _RUN.finditer(text):
         start, end = match.span()
@@ -79,7 +125,8 @@ def random_spans(text: str, known: list[Span], coder, max_chars_per_token: float
             at += 1
         if at < len(taken) and taken[at][0] < end:
             continue
-        if is_random(match.group(), coder, max_chars_per_token):
+        run = match.group()
+        if is_random(run, coder, max_chars_per_token) or has_random_part(run, coder, max_chars_per_token):
             spans.append((start, 3, end))
     return spans
 

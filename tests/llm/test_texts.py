@@ -482,6 +482,23 @@ def test_random_strings_are_found_and_words_are_not():
         assert not secrets.all_spans(text, coder, 2.0)[1], text
 
 
+def test_random_strings_glued_to_words_are_found():
+    coder = encoding(RANKS)
+    rnd = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for before in ("database_connection_key=", "session_cookie=", "/path/to/some/directory/", "my_application_value_"):
+        for length in (20, 24, 32) * 50:
+            key = "".join(rnd.choice(letters) for _ in range(length))
+            for text in (f"see {before}{key} there", f"see {before}{key[:9]}/{key[9:]}/index there"):
+                assert secrets.all_spans(text, coder, 2.0)[1], text
+    assert secrets.all_spans("kJhGfDsAqWeRtYuIoPzXbNvQ", coder, 2.0)[1]
+    for text in (
+        "database_connection_key=some_readable_value", "getElementsByTagNameAndClassName2", "/Users/shared/Documents/reports/2021",
+        "user_identifier=550e8400-e29b-41d4-a716-446655440000/profile", "checksum_of_archive=D41D8CD98F00B204E9800998ECF8427E",
+    ):
+        assert not secrets.has_random_part(text, coder, 2.0), text
+
+
 def test_redaction_keeps_everything_else(spark, docs):
     found = secrets.redact(docs, RANKS)
     assert found.columns == docs.columns and found.count() == docs.count()
