@@ -105,10 +105,13 @@ def _places(plan: list[Combination]) -> tuple[np.ndarray, ...]:
     return tuple(table.T)
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False, special_as_text: bool = True
+) -> DataFrame:
     """``doc_id, text_hash, piece, start, length, ids_crc32`` (and ``ids``): each text's ids and a closing 0.
 
-    Null texts are empty.  Only what is longer than ``capacity`` is cut: the first piece takes the rest
+    Null texts are empty.  Without ``special_as_text`` the definition's added tokens are read as its own
+    library reads them by default, as one id wherever a text holds them.  Only what is longer than ``capacity`` is cut: the first piece takes the rest
     of the division, all others are full.
     """
 
@@ -117,7 +120,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_id
         for batch in batches:
             rows, parts = [], []
             for at, text in enumerate(batch.column("text").to_pylist()):
-                ids = np.array([*coder.encode_ordinary(text), 0], "<u4")
+                found = coder.encode_ordinary(text) if special_as_text else coder.encode(text, allowed_special="all")
+                ids = np.array([*found, 0], "<u4")
                 ends = np.arange(len(ids) % capacity or capacity, len(ids) + 1, capacity).tolist()
                 start = 0
                 for piece, end in enumerate(ends if len(ids) > capacity else [len(ids)]):
@@ -188,9 +192,11 @@ def pack(pieces: DataFrame, capacity: int = 2048, groups: int | None = None) ->
     return ranked.mapInArrow(run, ", ".join([*fields, "sequence_id long", "offset long"]))
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False, special_as_text: bool = True
+) -> DataFrame:
     """Whole documents as packed pieces: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``)."""
-    pieces = materialize(token_pieces(docs, vocabulary, capacity, keep_ids), "pieces")
+    pieces = materialize(token_pieces(docs, vocabulary, capacity, keep_ids, special_as_text), "pieces")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return pack(pieces, capacity).select(*names, *(["ids"] if keep_ids else []))
 

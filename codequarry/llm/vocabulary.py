@@ -34,7 +34,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
     }
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Texts that a definition reads as one token wherever they stand; a ``.tiktoken`` file has none."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(token[rule] for token in added for rule in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{path} has added tokens that are not read as they stand")
+    return {token["content"]: token["id"] for token in added}
+
+
 @lru_cache(maxsize=2)
 def encoding(path: str) -> tiktoken.Encoding:
-    """The encoder of a vocabulary, read once by each worker; no text is taken for a special token."""
-    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=read_ranks(path), special_tokens={})
+    """The encoder of a vocabulary, read once by each worker; added tokens are text to ``encode_ordinary``."""
+    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=read_ranks(path), special_tokens=added_tokens(path))

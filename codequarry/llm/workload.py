@@ -20,7 +20,7 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir), DEFINITION)
+    return packing.pack_documents(documents(spark, sf_dir), DEFINITION, special_as_text=False)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

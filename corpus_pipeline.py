@@ -63,7 +63,7 @@ def secret_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 2048 tokens."""
     prepare(spark)
-    return packing.pack_documents(docs, DEFINITION)
+    return packing.pack_documents(docs, DEFINITION, special_as_text=False)
 
 
 def _with_text(docs: DataFrame, row: str, text) -> list:

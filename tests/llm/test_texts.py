@@ -88,6 +88,23 @@ def test_definition_encodes_like_its_own_library():
         assert encoding(DEFINITION).encode_ordinary(text or "") == ids
 
 
+def test_packing_query_reads_added_tokens_as_the_library_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from codequarry.llm import workload
+
+    texts = [*_edge_texts(), "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y  ", "  <|endoftext|>\n", "<|endoftext"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in workload.QUERIES["op2_best_fit_packing"](spark, str(tmp_path)).collect()}
+    tokenizer = Tokenizer.from_file(DEFINITION)
+    for doc, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        pieces = sorted(start for number, start in found if number == doc)
+        for start, end in zip(pieces, [*pieces[1:], len(ids)]):
+            assert found[doc, start] == (end - start, zlib.crc32(np.array(ids[start:end], "<u4").tobytes())), text
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_packing_places_every_token_once(docs, rows, empty, capacity):
     found = packing.pack_documents(docs, DEFINITION, capacity, keep_ids=True).collect()
