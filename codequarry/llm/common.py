@@ -15,12 +15,16 @@ from codequarry.session import prepare, shared_dir
 KEY = ["doc_id", "text_hash"]
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return read_table(spark, sf_dir, "documents")
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return read_table(spark, sf_dir, "embeddings")
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

@@ -7,12 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, class_ngrams, curves, exact_topk, language, packing, secrets, simhash, substring_dedup, suffix_dedup
-from .common import documents, embeddings
+from . import alignment, byte_bpe, class_ngrams, curves, exact_topk, language, packing, prefix_trie, secrets, simhash
+from . import substring_dedup, suffix_dedup, token_counts
+from .common import documents, embeddings, read_table
 from .vectors import usable
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,19 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.in_order(prefix_trie.turns(read_table(spark, sf_dir, "conversations")))
+    return prefix_trie.digests(prefix_trie.trie(*prefix_trie.forked(turns)))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(alignment.align(documents(spark, sf_dir), DEFINITION, PIECES))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), DEFINITION, limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -69,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_exact_topk": op10_exact_topk,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_alignment": op12_alignment,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -114,4 +132,50 @@ ORACLES: dict[str, str] = {
             FROM scored
         ) WHERE rank <= 5
     """,
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS t,
+                   row_number() OVER (
+                       PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS i
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        own AS (SELECT conv_id, list(t ORDER BY i) AS t FROM turns GROUP BY conv_id),
+        -- CRC-32 of the decimals, bit by bit.
+        heads AS (
+            SELECT conv_id, t, xor(list_reduce(
+                list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                lambda crc, byte: list_reduce(
+                    list_concat([xor(crc, byte)], list_transform(range(8), lambda z: CAST(0 AS BIGINT))),
+                    lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+            FROM own
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(list_slice(coalesce(p.t, []), 1, h), list_slice(c.t, h + 1, len(c.t))) AS t
+            FROM heads c LEFT JOIN own p ON p.conv_id = c.conv_id - (c.conv_id % 5 + 5) % 5
+        ),
+        members AS (
+            SELECT conv_id, list_slice(t, 1, d) AS path, d, len(t) AS length
+            FROM (SELECT *, unnest(generate_series(0, len(t))) AS d FROM rebuilt)
+        ),
+        nodes AS (
+            SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = d), '') AS ends
+            FROM members GROUP BY path
+        ),
+        children AS (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        weighed AS (
+            SELECT n.*, coalesce(c.n, 0) AS n_children,
+                   CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(n.path[depth].text) ELSE 0 END AS saved
+            FROM nodes n LEFT JOIN children c ON n.path = c.path
+        ),
+        below AS (
+            SELECT list_slice(path, 1, d) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved
+            FROM (SELECT *, unnest(generate_series(0, depth)) AS d FROM weighed) GROUP BY 1
+        )
+        SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+               b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+        FROM weighed w JOIN below b ON w.path = b.path
+        LEFT JOIN nodes p ON w.depth > 0 AND p.path = list_slice(w.path, 1, w.depth - 1)
+    """,
 }
