@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -70,7 +71,7 @@ def coalesce(a_sizes: np.ndarray, b_sizes: np.ndarray) -> Aligned:
 class Pair:
     """Both tokenizers of a worker: ids and bytes of their tokens."""
 
-    def __init__(self, a_path: str, b_path: str, odd: str):
+    def __init__(self, a_path: str, b_path: str, odd: frozenset[str]):
         self.coder, self.encode_a = encoding(a_path), ids_of(a_path, odd)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         size = max(self.coder.max_token_value + 1, self.coder.n_vocab)
@@ -114,7 +115,7 @@ class Pair:
 
 
 @lru_cache(maxsize=1)
-def _pair(a_path: str, b_path: str, odd: str) -> Pair:
+def _pair(a_path: str, b_path: str, odd: frozenset[str]) -> Pair:
     return Pair(a_path, b_path, odd)
 
 
@@ -150,7 +151,8 @@ def linked_documents(
         return columns, [keys[begin:end] for begin, end in zip(bounds, bounds[1:])]
 
     def flush(block: int, columns: dict[str, list], links: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys, place, n = np.unique(np.concatenate([np.zeros(0, np.int64), *links]), return_inverse=True, return_counts=True)
+        place, keys = pd.factorize(np.concatenate([np.zeros(0, np.int64), *links]))
+        n = np.bincount(place, minlength=len(keys))
         places, times, begin = [], [], 0
         for found in links:
             at, count = np.unique(place[begin : begin + len(found)], return_counts=True)

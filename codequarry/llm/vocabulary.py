@@ -66,14 +66,14 @@ def library(path: str, special_as_text: bool = True) -> Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def odd_characters(path: str) -> str:
-    """A character class of what the definition's library splits otherwise than ``PATTERN`` does, or ''.
+def odd_characters(path: str) -> frozenset[str]:
+    """The characters that the definition's library splits otherwise than ``PATTERN`` does.
 
     Their Unicode versions differ, so the library takes younger letters and digits for other signs.  Takes
-    some seconds; meant for the driver, which hands the class to the tasks.
+    some seconds; meant for the driver, which hands the some thousand characters to the tasks.
     """
     known = regex.findall(r"[^\p{Cn}\p{Co}\p{Cs}]", "".join(map(chr, range(sys.maxunicode + 1))))
-    splitter, pattern, odd = library(path).pre_tokenizer, regex.compile(PATTERN), []
+    splitter, pattern, odd = library(path).pre_tokenizer, regex.compile(PATTERN), set()
 
     def differ(characters: list[str]) -> bool:
         text = "".join(f"a!{character}" for character in characters) + "a"
@@ -87,31 +87,21 @@ def odd_characters(path: str) -> str:
             if half:
                 waiting += [some[:half], some[half:]]
             else:
-                odd.append(ord(some[0]))
-    return _character_class(sorted(odd))
+                odd.add(some[0])
+    return frozenset(odd)
 
 
-def _character_class(codes: list[int]) -> str:
-    runs: list[list[int]] = []
-    for code in codes:
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    return "[" + "".join(f"\\U{first:08x}-\\U{last:08x}" for first, last in runs) + "]" if runs else ""
-
-
-def pre_tokens(path: str, odd: str) -> Callable[[str], Iterator[str]]:
+def pre_tokens(path: str, odd: frozenset[str]) -> Callable[[str], Iterator[str]]:
     """A function from a text to its pre-tokens as the definition's library splits it.
 
     ``odd`` is that of ``odd_characters``: only texts that hold such a character are split by the library
     itself, the others by the pattern, which is several times faster.
     """
-    pattern, rare = regex.compile(PATTERN), regex.compile(odd) if odd else None
+    pattern = regex.compile(PATTERN)
     splitter = library(path).pre_tokenizer
 
     def split(text: str) -> Iterator[str]:
-        if rare is not None and rare.search(text):
+        if not text.isascii() and not odd.isdisjoint(text):
             return (text[begin:end] for _, (begin, end) in splitter.pre_tokenize_str(text))
         if len(text) < 1 << 20:
             return iter(pattern.findall(text))
@@ -120,16 +110,15 @@ def pre_tokens(path: str, odd: str) -> Callable[[str], Iterator[str]]:
     return split
 
 
-def ids_of(path: str, odd: str, special_as_text: bool = True) -> Callable[[str], list[int]]:
+def ids_of(path: str, odd: frozenset[str], special_as_text: bool = True) -> Callable[[str], list[int]]:
     """A function from a text to its ids as the definition's library gives them.
 
     Texts without an ``odd`` character go to the faster merge library.
     """
-    rare = regex.compile(odd) if odd else None
     slow, coder = library(path, special_as_text), encoding(path)
 
     def encode(text: str) -> list[int]:
-        if rare is not None and rare.search(text):
+        if not text.isascii() and not odd.isdisjoint(text):
             return slow.encode(text, add_special_tokens=False).ids
         return coder.encode_ordinary(text) if special_as_text else coder.encode(text, allowed_special="all")
 
