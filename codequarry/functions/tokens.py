@@ -90,10 +90,16 @@ def _load(kind: str, content: bytes, special_as_text: bool) -> Callable[[str], i
 
 
 def _count_or_none(count: Callable[[str], int], text: str | None) -> int | None:
-    """NULL for what encoders refuse: text that is no valid Unicode.  Other errors are not the text's."""
+    """NULL for what encoders refuse: text that is no valid Unicode, or that a definition without an
+    unknown token has no token for.  Other errors are not the text's."""
     if text is None:
         return None
     try:
         return count(text)
     except (UnicodeError, TypeError):
         return None
+    except Exception as error:
+        # The definition's library has no error class of its own.
+        if type(error) is not Exception:
+            raise
+        return None

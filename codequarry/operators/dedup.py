@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codequarry.functions.text import content_hash
+from codequarry.session import written_once
+
+_PREFIX_BYTES = 7
 
 
 def content_survivors(
@@ -15,9 +19,14 @@ def content_survivors(
     the smallest ``order_by``.
 
     Only hash, id and order cross the shuffle, and a text shared by a large share of all rows is
-    collapsed by the map-side aggregation.  A LONG id or order aggregates by hash; a string one
-    falls back to a sort of these narrow rows.  NULL texts have no content and are left out.
+    collapsed by the map-side aggregation.  String ids are written once, next to their hashes, and
+    compared by ``least_strings``.  NULL texts have no content and are left out.
     """
+    if order_by in (None, id) and isinstance(records.schema[id].dataType, T.StringType):
+        hashed = records.select(content_hash(F.col(text)).alias("content_hash"), F.col(id))
+        # The filter runs on what was written: above the scan it would hash every text twice.
+        hashed = written_once(hashed, "content-hashes").filter(F.col("content_hash").isNotNull())
+        return least_strings(hashed, "content_hash", id)
     hashed = records.select(
         content_hash(F.col(text)).alias("content_hash"),
         F.col(id),
@@ -32,6 +41,35 @@ def content_survivors(
     return hash_groups.filter(F.col(id).isNotNull())
 
 
+def prefix_key(value: Column) -> Column:
+    """The first bytes of a string as a LONG in the order of the strings; a shorter one ends in zeros."""
+    digits = F.hex(F.substring(value.cast("binary"), 1, _PREFIX_BYTES))
+    return F.conv(F.rpad(digits, 2 * _PREFIX_BYTES, "0"), 16, 10).cast("long")
+
+
+def least_strings(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """The smallest ``value`` of each ``group``, as (group, value), by aggregations that hash.
+
+    The smallest of a string needs a sort, so what is aggregated is the number of its first bytes, and
+    how many rows of the group have it.  The rows with the least number are then looked up by group and
+    number, so a group that holds a large share of all rows is spread.  Only where several rows of a
+    group share their first bytes are these compared as a whole.  ``rows`` are read several times:
+    they should be narrow and written.  NULL values and groups are left out.
+    """
+    keyed = rows.select(group, value, prefix_key(F.col(value)).alias("_key"))
+    keyed = keyed.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
+    counted = keyed.groupBy(group, "_key").agg(F.count("*").alias("_rows"))
+    least = counted.groupBy(group).agg(
+        F.min("_key").alias("_key"), F.min_by("_rows", "_key").alias("_rows")
+    )
+    alone = keyed.join(least.filter("_rows = 1"), [group, "_key"], "left_semi")
+    tied = keyed.join(least.filter("_rows > 1"), [group, "_key"], "left_semi")
+    # The limit on the rank is pushed below the shuffle, so each task sends one row of a group.
+    place = F.row_number().over(Window.partitionBy(group).orderBy(value))
+    first = tied.withColumn("_place", place).filter("_place = 1")
+    return alone.select(group, value).unionByName(first.select(group, value))
+
+
 def keep_survivors(records: DataFrame, survivors: DataFrame, *, id: str = "id") -> DataFrame:
     """Records with a surviving id; if ids repeat, every row with a surviving id stays.
 
@@ -49,7 +87,10 @@ def exact_dedup(
     order_by: str | None = None,
     keep_null_text: bool = False,
 ) -> DataFrame:
-    """One record per distinct text.  ``records`` is scanned twice, so ids must be reproducible."""
+    """One record per distinct text.  ``records`` is scanned twice, so ids must be reproducible.
+
+    With string ids the first scan runs at once, and its hashes are written to the shared folder.
+    """
     survivors = content_survivors(records, text=text, id=id, order_by=order_by)
     kept = keep_survivors(records, survivors, id=id)
     if keep_null_text:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codequarry.functions import names
-from codequarry.operators.joins import keep_matching
+from codequarry.operators.joins import KeySet, keep_matching, key_set
 from codequarry.schemas import CATEGORY
 
 
@@ -38,13 +38,13 @@ def unknown_languages(catalog: DataFrame, requested: DataFrame) -> DataFrame:
 
 def keep_languages(
     files: DataFrame,
-    extensions: DataFrame,
+    extensions: DataFrame | KeySet,
     *,
     file_name: str = "file_name",
     also: Column | None = None,
 ) -> DataFrame:
     """Files whose last-dot extension is among ``extensions``, and those for which ``also`` is true."""
-    keys = extensions.select(F.col("extension").alias("_extension"))
+    keys = extensions if isinstance(extensions, KeySet) else key_set(extensions, "extension")
     tagged = files.withColumn("_extension", names.last_dot_extension(F.col(file_name)))
     kept = keep_matching(tagged, keys, "_extension", spread=[file_name], also=also)
     return kept.select(*files.columns)

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from codequarry.functions import names, text
 from codequarry.functions.tokens import token_counter
-from codequarry.operators.dedup import content_survivors, exact_dedup
-from codequarry.operators.joins import fits_broadcast, keep_matching
+from codequarry.operators.dedup import exact_dedup, least_strings
+from codequarry.operators.guards import RowGuard
+from codequarry.operators.joins import keep_matching, key_set
 from codequarry.operators.languages import keep_languages, language_extensions
 from codequarry.schemas import CATEGORY, MAX_FILE_SIZE, RECORD_COLUMNS
+from codequarry.session import written_once
 from codequarry.sources import archives as archive_source
 from codequarry.sources import records as record_source
 
@@ -83,9 +85,10 @@ def add_tokens(records: DataFrame, vocabulary: str, *, special_as_text: bool = F
 
 def extract(
     spark: SparkSession,
-    repos: DataFrame,
+    repos: DataFrame | None,
     archive_dir: str,
     *,
+    archives: DataFrame | None = None,
     vocabulary: str | None,
     max_file_size: int = MAX_FILE_SIZE,
     match: str = "exact",
@@ -97,8 +100,9 @@ def extract(
     split_bytes: int = archive_source.SPLIT_BYTES,
     through_spark: bool = False,
     with_errors: bool = False,
+    guard: RowGuard | None = None,
 ) -> DataFrame:
-    """Records of the archives of the listed repositories.
+    """Records of the archives of the listed repositories, or of ``archives`` (archive, length, stem) listed before.
 
     ``with_errors`` adds ``archive`` and ``error`` and keeps what else is left out with a reason: archives
     that cannot be read, encrypted and damaged members, members that are no text or that the tokenizer
@@ -108,17 +112,23 @@ def extract(
     ``languages`` (with ``catalog``) keeps only files of these languages; the filter runs on the
     archive listing, before anything is inflated.  Without a ``vocabulary`` the records have no
     ``tokens``: counting is the costliest step, so it pays to write such records as Parquet, dedupe
-    them and ``add_tokens`` to what is left.  ``through_spark`` lets Spark read the archives as whole
-    cells, for storage that executors cannot open through Arrow.
+    them and ``add_tokens`` to what is left.  ``through_spark`` lets Spark read the matched archives as
+    whole cells, for storage that executors cannot open through Arrow; archives above the size of a cell
+    are errors then.  ``guard`` watches the rows, see ``RowGuard``.
     """
     in_language = _language_filter(languages, catalog)
-    listed = archive_source.list_archives(spark, archive_dir, with_content=through_spark)
-    matched = archive_source.match_archives(listed, repos, match)
+    matched = archives
+    if matched is None:
+        listed = archive_source.list_archives(spark, archive_dir)
+        matched = archive_source.match_archives(listed, repos, match)
     common = {"max_file_size": max_file_size, "with_errors": with_errors}
     if through_spark:
+        held, too_large = archive_source.read_contents(matched)
         entries = archive_source.expand_archives(
-            matched, keep_entries=in_language.get("keep_entries"), **common
+            held, keep_entries=in_language.get("keep_entries"), **common
         )
+        if with_errors:
+            entries = entries.unionByName(too_large, allowMissingColumns=True)
     else:
         entries = archive_source.scan_archives(
             matched, split_bytes=split_bytes, **in_language, **common
@@ -126,9 +136,9 @@ def extract(
     records = assemble_records(
         entries, extension=extension, record_id=record_id, with_errors=with_errors
     )
-    if vocabulary is None:
-        return records
-    return add_tokens(records, vocabulary, special_as_text=special_as_text)
+    if vocabulary is not None:
+        records = add_tokens(records, vocabulary, special_as_text=special_as_text)
+    return guard.watch(records) if guard else records
 
 
 def accepted(rows: DataFrame) -> DataFrame:
@@ -154,31 +164,47 @@ def extract_unique(
     extension: str = "first_dot",
     special_as_text: bool = False,
     split_bytes: int = archive_source.SPLIT_BYTES,
+    with_errors: bool = False,
 ) -> DataFrame:
     """What ``extract``, writing, and ``dedupe`` give, with no text written or shuffled in between.
 
-    The archives are read twice.  The first pass hashes texts and keeps the surviving ids; ids are a
-    function of the listing, so the second pass drops all other members before it inflates any, and
-    counts tokens of survivors only.
+    The archives are read twice.  The first pass, which runs at once, hashes texts and writes hash and
+    id of each record; ids are a function of the listing, so the second pass drops all but the
+    surviving members before it inflates any, and counts tokens of survivors only.
+
+    ``with_errors`` adds ``archive`` and ``error``, and rows for what is left out with a reason, as in
+    ``extract``: the first pass writes them next to the hashes.  Of several copies of a text that the
+    tokenizer refuses, the one that would survive is named.  Split the rows with ``accepted`` and
+    ``rejected``.
     """
     in_language = _language_filter(languages, catalog)
     matched = archive_source.match_archives(
         archive_source.list_archives(spark, archive_dir), repos, match
     )
     options = {"max_file_size": max_file_size, "split_bytes": split_bytes}
-    entries = archive_source.scan_archives(matched, **in_language, **options)
-    survivors = content_survivors(assemble_records(entries)).select(F.col("id").alias("_id"))
+    entries = archive_source.scan_archives(matched, **in_language, **options, with_errors=with_errors)
+    found = assemble_records(entries, with_errors=with_errors)
+    account = ["repo", "archive", "path", "error"] if with_errors else []
+    narrow = found.select("id", text.content_hash(F.col("text")).alias("content_hash"), *account)
+    first = written_once(narrow, "first-pass")
+    hashed = first.filter(F.col("content_hash").isNotNull())
+    survivors = least_strings(hashed, "content_hash", "id").select(F.col("id").alias("_id"))
 
     def keep_survivors(listed: DataFrame) -> DataFrame:
         made = text.stable_record_id(F.col("repo"), F.col("entry_name"), F.col("entry_index"))
+        listed = listed.filter(F.col("error").isNull())
         kept = listed.withColumn("_id", made).join(survivors, "_id", "left_semi")
         return kept.select(*listed.columns)
 
     unique = archive_source.scan_archives(
-        matched, keep_entries=keep_survivors, regroup=True, **options
+        matched, keep_entries=keep_survivors, regroup=True, **options, with_errors=with_errors
     )
-    records = assemble_records(unique, extension=extension)
-    return add_tokens(records, vocabulary, special_as_text=special_as_text)
+    records = assemble_records(unique, extension=extension, with_errors=with_errors)
+    counted = add_tokens(records, vocabulary, special_as_text=special_as_text)
+    if not with_errors:
+        return counted
+    errors = first.filter(F.col("error").isNotNull()).select(*account)
+    return counted.unionByName(errors, allowMissingColumns=True)
 
 
 def _language_filter(languages: DataFrame | None, catalog: DataFrame | None) -> dict:
@@ -187,7 +213,7 @@ def _language_filter(languages: DataFrame | None, catalog: DataFrame | None) ->
         return {}
     if catalog is None:
         raise ValueError("languages needs a catalog")
-    wanted = language_extensions(catalog, languages)
+    wanted = key_set(language_extensions(catalog, languages), "extension")
 
     def keep_entries(entries: DataFrame) -> DataFrame:
         named = entries.withColumn("_name", names.path_file_name(F.col("entry_name")))
@@ -197,7 +223,7 @@ def _language_filter(languages: DataFrame | None, catalog: DataFrame | None) ->
     # Too many extensions for a broadcast are joined by a shuffle of the listing.
     return {
         "keep_entries": keep_entries,
-        "regroup": not fits_broadcast(wanted.select("extension").distinct()),
+        "regroup": not wanted.small,
     }
 
 
@@ -209,20 +235,22 @@ def read_corpus(
     layout: str = "file",
     match: str = "exact",
 ) -> DataFrame:
-    """Valid records of the listed repositories; lines of other repositories are never parsed.
+    """Valid records of the listed repositories; files of other repositories are never opened.
 
     ``layout`` is one of ``scan_record_lines``, or ``'parquet'`` for records written so.  ``match``
-    is that of ``match_archives``.
+    is that of ``match_archives``.  Where a file or folder has one repository, the listing is joined
+    with the list and only what matches is scanned, however many repositories are listed.  A
+    ``repo_bucket`` folder has many: its rows are joined, before they are parsed.
     """
-    if layout == "parquet":
-        rows, spread = record_source.scan_record_table(spark, directory), "id"
+    if repos is not None and record_source.by_repository(spark, directory, layout):
+        files = record_source.list_record_files(spark, directory, layout=layout)
+        keyed = files.withColumn("repo_key", archive_source.key_of_stem(F.col("repo"), match))
+        chosen = keyed.join(repos.select("repo_key"), "repo_key", "left_semi").select("path")
+        rows = record_source.scan_chosen(spark, directory, chosen, layout=layout)
     else:
-        rows, spread = record_source.scan_record_lines(spark, directory, layout=layout), "value"
-    if repos is not None:
-        if match == "exact":
-            keys = repos.select(F.col("repo_key").alias("repo"))
-            rows = keep_matching(rows, keys, "repo", spread=[spread])
-        else:
+        rows = record_source.scan_records(spark, directory, layout=layout)
+        if repos is not None:
+            spread = "id" if layout == "parquet" else "value"
             keyed = rows.withColumn("repo_key", archive_source.key_of_stem(F.col("repo"), match))
             rows = keep_matching(keyed, repos, "repo_key", spread=[spread]).drop("repo_key")
     if layout != "parquet":
@@ -237,9 +265,12 @@ def dedupe(
     *,
     layout: str = "file",
     match: str = "exact",
+    guard: RowGuard | None = None,
 ) -> DataFrame:
     """Records of the listed repositories, one per distinct text over all of them.
 
-    The first of its two passes needs only ids and texts; with ``layout='parquet'`` it reads no more.
+    The first of its two passes, which runs at once, needs only ids and texts; with
+    ``layout='parquet'`` it reads no more.  ``guard`` watches the rows, see ``RowGuard``.
     """
-    return exact_dedup(read_corpus(spark, directory, repos, layout=layout, match=match))
+    kept = exact_dedup(read_corpus(spark, directory, repos, layout=layout, match=match))
+    return guard.watch(kept) if guard else kept

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
@@ -57,3 +57,14 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="codequarry-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(rows: DataFrame, label: str) -> DataFrame:
+    """Narrow rows written to the shared folder and read back, so that nothing is computed again.
+
+    The folder stays, so that a lost executor's part can be read again; remove it with the others of
+    the application.
+    """
+    path = shared_dir(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

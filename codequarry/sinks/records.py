@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codequarry.operators.guards import RowGuard
+
 
 def write_records(
     records: DataFrame,
@@ -14,6 +16,7 @@ def write_records(
     keep_other_repos: bool = False,
     buckets: int | None = None,
     fmt: str = "json",
+    guard: RowGuard | None = None,
 ) -> None:
     """Write one ``repo=<repo>`` folder of JSON lines, or Parquet files, per repository.
 
@@ -22,6 +25,7 @@ def write_records(
     repositories and splits a huge one over several tasks and files.  The target is replaced, or with
     ``keep_other_repos`` only the folders of repositories that have records.  For millions of
     repositories ``buckets`` writes that many ``repo_bucket`` folders with ``repo`` as a field.
+    ``guard``, which watches the records, is checked once they are written.
     """
     partition = "repo"
     if buckets is not None:
@@ -33,3 +37,5 @@ def write_records(
     overwrite = "dynamic" if keep_other_repos else "static"
     writer = records.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
     writer.partitionBy(partition).format(fmt).save(directory)
+    if guard:
+        guard.check()

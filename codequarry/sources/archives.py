@@ -20,9 +20,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from codequarry.functions import names
 from codequarry.schemas import ENTRY, MAX_FILE_SIZE
 from codequarry.sources import zip_entries
-from codequarry.sources.folders import folder_roots, lies_directly_in
+from codequarry.sources.folders import chosen_paths, list_files
 
 SPLIT_BYTES = 128 << 20
+# What one binary cell holds at most.
+CELL_BYTES = (1 << 31) - (1 << 20)
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 16 << 20
 
@@ -32,17 +34,31 @@ def list_archives(
 ) -> DataFrame:
     """Files of one folder, or of each that a glob names, by suffix as (archive, length, stem).
 
-    Contents are read only ``with_content``, which adds them as a column for ``expand_archives``.
+    ``with_content`` reads all of them, too; to read only some, take ``read_contents`` of the rest of a join.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    roots = folder_roots(spark, directory)
-    files = reader.option("pathGlobFilter", f"*.{suffix}").load(roots)
     path = F.col("path")
     stem = names.file_stem(names.base_file_name(path))
-    content = ["content"] if with_content else []
-    return files.filter(lies_directly_in(path, roots)).select(
-        path.alias("archive"), "length", stem.alias("stem"), *content
+    listed = list_files(spark, directory, suffix).select(path.alias("archive"), "length", stem.alias("stem"))
+    return read_contents(listed, 1 << 62)[0] if with_content else listed
+
+
+def read_contents(archives: DataFrame, max_bytes: int = CELL_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(archive, length, stem, content) of listed archives, and error rows of those above ``max_bytes``.
+
+    Only the given archives are read, each by the task that goes on with it, so no content is shuffled.
+    """
+    spark = archives.sparkSession
+    fits = F.col("length") <= max_bytes
+    paths = chosen_paths(archives.filter(fits), "archive")
+    too_large = archives.filter(~fits).select(
+        F.col("stem").alias("repo"), "archive", F.lit("archive above the size of a cell").alias("error")
     )
+    if not paths:
+        return spark.createDataFrame([], "archive string, length long, stem string, content binary"), too_large
+    held = spark.read.format("binaryFile").load(paths)
+    path = F.col("path")
+    stem = names.file_stem(names.base_file_name(path))
+    return held.select(path.alias("archive"), "length", stem.alias("stem"), "content"), too_large
 
 
 def key_of_stem(stem: Column, match: str) -> Column:
@@ -236,6 +252,7 @@ def expand_archives(
             for row in batch.to_pylist():
                 stream = io.BytesIO(row["content"])
                 for entry in _entries_of(row["archive"], row["stem"], row["content"]):
+                    entry = dict.fromkeys(ENTRY.fieldNames()) | entry
                     if entry["error"] is not None:
                         yield entry | {"content": None}
                     elif entry["is_file"] and "." in entry["entry_name"] and entry["size_in_bytes"] <= max_file_size:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from codequarry.functions import names
 from codequarry.schemas import RECORD
-from codequarry.sources.folders import decoded_path, folder_roots, lies_directly_in
+from codequarry.sources.folders import chosen_paths, decoded_path, list_files, list_leaf_folders
 from codequarry.sources.repos import holds_one_value, with_json
 
 _VARIANT_TYPE = {T.StringType(): "STRING", T.LongType(): "BIGINT"}
@@ -20,28 +20,68 @@ def scan_record_lines(spark: SparkSession, directory: str, *, layout: str = "fil
     ``layout='file'`` reads the ``<repo>.jsonl`` files of one folder, or of each that a glob names, ``'repo'`` and ``'bucket'`` the
     ``repo=<repo>`` and ``repo_bucket=<n>`` folders of ``write_records``.
     """
+    if layout == "file":
+        return _lines(spark, directory, chosen_paths(list_record_files(spark, directory, layout=layout), "path"), layout)
+    if layout in ("repo", "bucket"):
+        return _lines(spark, directory, [directory], layout)
+    raise ValueError(f"layout: {layout!r}")
+
+
+def scan_record_table(spark: SparkSession, directory: str) -> DataFrame:
+    """Records written as Parquet, in either folder layout."""
+    return _table(spark, directory, [directory])
+
+
+def scan_records(spark: SparkSession, directory: str, *, layout: str = "file") -> DataFrame:
+    """Lines, or with ``layout='parquet'`` records."""
+    return scan_record_table(spark, directory) if layout == "parquet" else scan_record_lines(spark, directory, layout=layout)
+
+
+def by_repository(spark: SparkSession, directory: str, layout: str) -> bool:
+    """Whether each file or folder of a layout holds records of one repository."""
+    if layout != "parquet":
+        return layout in ("file", "repo")
+    return list_leaf_folders(spark, directory).filter(F.col("folder").rlike("/repo=[^/]*$")).limit(1).count() > 0
+
+
+def list_record_files(spark: SparkSession, directory: str, *, layout: str = "file") -> DataFrame:
+    """(path, repo): the files of ``layout='file'``, else the ``repo=<repo>`` folders."""
+    if layout == "file":
+        stem = names.file_stem(names.base_file_name(F.col("path")))
+        return list_files(spark, directory, "jsonl").select("path", stem.alias("repo"))
+    name = F.regexp_extract(decoded_path(F.regexp_extract("folder", "/(repo=[^/]*)$", 1)), "(?s)^repo=(.*)$", 1)
+    folders = list_leaf_folders(spark, directory).select(F.col("folder").alias("path"), name.alias("repo"))
+    return folders.filter(F.col("path").rlike("/repo=[^/]*$"))
+
+
+def scan_chosen(spark: SparkSession, directory: str, chosen: DataFrame, *, layout: str) -> DataFrame:
+    """The lines, or records, of some of the ``list_record_files`` by their path, and nothing else."""
+    paths = chosen_paths(chosen, "path")
+    return _table(spark, directory, paths) if layout == "parquet" else _lines(spark, directory, paths, layout)
+
+
+def _lines(spark: SparkSession, directory: str, paths: list[str], layout: str) -> DataFrame:
     # Lines end at LF only; a CR before it is JSON white space.
     reader = spark.read.option("lineSep", "\n")
+    if not paths:
+        return spark.createDataFrame([], "value string, repo string")
     if layout == "file":
-        reader = reader.option("recursiveFileLookup", True)
-        roots = folder_roots(spark, directory)
-        lines = reader.option("pathGlobFilter", "*.jsonl").text(roots)
         path = decoded_path(F.col("_metadata.file_path"))
         repo = names.file_stem(names.base_file_name(path))
-        return lines.filter(lies_directly_in(path, roots)).select("value", repo.alias("repo"))
+        return reader.text(paths).select("value", repo.alias("repo"))
+    reader = reader.option("basePath", directory)
     if layout == "repo":
         # The declared type keeps a repository named 007 from being read as a number.
-        return reader.schema("value string, repo string").text(directory)
-    if layout == "bucket":
-        lines = reader.schema("value string, repo_bucket int").text(directory)
-        return lines.select("value", F.get_json_object("value", "$.repo").alias("repo"))
-    raise ValueError(f"layout: {layout!r}")
+        return reader.schema("value string, repo string").text(paths)
+    lines = reader.schema("value string, repo_bucket int").text(paths)
+    return lines.select("value", F.get_json_object("value", "$.repo").alias("repo"))
 
 
-def scan_record_table(spark: SparkSession, directory: str) -> DataFrame:
-    """Records written as Parquet, in either folder layout."""
+def _table(spark: SparkSession, directory: str, paths: list[str]) -> DataFrame:
     schema = T.StructType([*RECORD.fields, T.StructField("repo", T.StringType())])
-    return spark.read.schema(schema).parquet(directory).select(*schema.fieldNames())
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.option("basePath", directory).schema(schema).parquet(*paths).select(*schema.fieldNames())
 
 
 def parse_record_lines(lines: DataFrame) -> DataFrame:

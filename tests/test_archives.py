@@ -262,3 +262,18 @@ def test_match_exact_and_prefix(spark):
 def test_no_archives_at_all(spark, folder):
     listed = archives.list_archives(spark, folder).filter("stem = 'absent'")
     assert archives.scan_archives(listed).count() == 0
+
+
+def test_subfolders_are_not_listed(spark, tmp_path):
+    from codequarry.sources import folders
+
+    for place in ("a.zip", "deep/b.zip", "deep/er/c.zip", "d.zip/e.zip", "f [1]{x}.zip"):
+        (tmp_path / place).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / place).write_bytes(b"x")
+    listed = archives.list_archives(spark, str(tmp_path))
+    assert sorted(r.stem for r in listed.collect()) == ["a", "f [1]{x}"]
+    files = folders.list_files(spark, str(tmp_path), "zip")
+    assert not any("deep" in file for file in files.inputFiles())
+    held, _ = archives.read_contents(listed)
+    assert sorted((r.stem, bytes(r.content)) for r in held.collect()) == [("a", b"x"), ("f [1]{x}", b"x")]
+    assert archives.list_archives(spark, str(tmp_path / "deep" / "er"), "txt").count() == 0

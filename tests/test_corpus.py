@@ -95,8 +95,7 @@ def test_language_filter(spark, folder, ranks, monkeypatch):
 
     assert run("Markdown", "C") == ["r-main/c.h", "r_x-main/d.md"]
     with monkeypatch.context() as patch:
-        patch.setattr(joins.fits_broadcast, "__defaults__", (0, 0))
-        patch.setattr(joins.keep_matching, "__kwdefaults__", {"max_rows": 0, "max_bytes": 0})
+        patch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
         assert run("Markdown", "C") == ["r-main/c.h", "r_x-main/d.md"]
     assert run("Cobol") == ["r-main/a.py", "r-main/c.h", "r-main/e.py", "r_x-main/copy.py"]
 
@@ -163,3 +162,168 @@ def test_flat_files_of_another_writer(spark, tmp_path):
     assert [r.id for r in exact.collect()] == ["2"]
     prefix = corpus.read_corpus(spark, str(tmp_path), listed(spark, "u/a"), match="prefix")
     assert sorted(r.id for r in prefix.collect()) == ["2", "5"]
+
+
+def test_unique_extraction_with_an_account(spark, folder, ranks):
+    keys = listed(spark, "u/r", "u/r_x", "v/s", "u/bad")
+    rows = corpus.extract_unique(spark, keys, folder, vocabulary=ranks, with_errors=True)
+    bare = corpus.extract_unique(spark, keys, folder, vocabulary=ranks)
+    assert set(map(tuple, corpus.accepted(rows).collect())) == set(map(tuple, bare.collect()))
+    found = {(r.repo, r.path, r.error) for r in corpus.rejected(rows).collect()}
+    assert ("u-r", "r-main/b.tar.gz", "not UTF-8 text") in found and len(found) == 2
+    assert next(e for repo, _, e in found if repo == "u-bad").startswith("BadZipFile")
+
+
+def test_unique_extraction_lists_each_archive_twice(spark, folder, ranks):
+    keys = listed(spark, "u/r", "u/r_x", "v/s", "u/bad")
+    rows = corpus.extract_unique(spark, keys, folder, vocabulary=ranks, with_errors=True)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # The first pass has run: what is left is one more listing, the hashes and the account.
+    assert plan.count("MapInArrow listing") == 1
+    assert "SortAggregate" not in plan
+
+
+def test_refused_texts_are_named(spark, folder):
+    import workload
+
+    keys = listed(spark, "u/r", "u/r_x")
+    vocabulary = workload.refusing_vocabulary()
+    rows = corpus.extract(spark, keys, folder, vocabulary=vocabulary, with_errors=True)
+    assert all(r.error != "refused by the tokenizer" for r in rows.collect())
+    with zipfile.ZipFile(f"{folder}/u-r.zip", "a") as out:
+        out.writestr("r-main/ü.py", "für")
+        out.writestr("r-main/v.py", "für")
+    for run, names in ((corpus.extract, ["r-main/v.py", "r-main/ü.py"]), (corpus.extract_unique, None)):
+        rows = run(spark, keys, folder, vocabulary=vocabulary, with_errors=True).collect()
+        refused = sorted(r.path for r in rows if r.error == "refused by the tokenizer")
+        assert refused == names or names is None and len(refused) == 1
+        assert all(r.tokens is None for r in rows if r.error)
+    plain = corpus.extract(spark, keys, folder, vocabulary=vocabulary)
+    assert not {"r-main/ü.py", "r-main/v.py"} & set(paths(plain))
+
+
+def test_contents_are_read_after_the_match(spark, folder, ranks):
+    from codequarry.sources import archives
+
+    listing = archives.list_archives(spark, folder)
+    matched = archives.match_archives(listing, listed(spark, "u/r", "v/s"))
+    held, too_large = archives.read_contents(matched)
+    assert sorted(r.stem for r in held.collect()) == ["u-r", "v-s"] and too_large.count() == 0
+    assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+    assert len(held.inputFiles()) == 2
+    sizes = {r.stem: r.length for r in matched.collect()}
+    held, too_large = archives.read_contents(matched, max_bytes=sizes["v-s"])
+    assert [r.stem for r in held.collect()] == ["v-s"]
+    assert [(r.repo, r.error) for r in too_large.collect()] == [("u-r", "archive above the size of a cell")]
+    nothing, _ = archives.read_contents(matched, max_bytes=0)
+    assert nothing.count() == 0
+    plan = corpus.extract(spark, listed(spark, "u/r"), folder, vocabulary=None, through_spark=True)
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_archives_through_spark_are_errors(spark, folder, monkeypatch):
+    from codequarry.sources import archives
+
+    monkeypatch.setattr(archives.read_contents, "__defaults__", (0,))
+    rows = corpus.extract(spark, listed(spark, "u/r"), folder, vocabulary=None, through_spark=True, with_errors=True)
+    assert [(r.repo, r.error) for r in corpus.rejected(rows).collect()] == [("u-r", "archive above the size of a cell")]
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_only_listed_folders_are_in_the_scan(spark, folder, ranks, tmp_path, fmt):
+    keys = listed(spark, "u/r", "u/r_x", "v/s")
+    target = str(tmp_path / "records")
+    write_records(corpus.extract(spark, keys, folder, vocabulary=ranks), target, fmt=fmt)
+    layout = "repo" if fmt == "json" else "parquet"
+    # More keys than a broadcast takes would be pruned alike: none is broadcast or joined with rows.
+    many = listed(spark, "u/r_x", *[f"no/{i}" for i in range(50)])
+    rows = corpus.read_corpus(spark, target, many, layout=layout)
+    assert paths(rows) == ["r_x-main/copy.py", "r_x-main/d.md"]
+    assert rows.inputFiles() and all("repo=u-r_x/" in file for file in rows.inputFiles())
+    assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
+    prefix = corpus.read_corpus(spark, target, listed(spark, "u/r"), layout=layout, match="prefix")
+    assert {r.repo for r in prefix.collect()} == {"u-r", "u-r_x"}
+    assert corpus.read_corpus(spark, target, listed(spark, "no/one"), layout=layout).count() == 0
+
+
+def test_bucket_folders_are_filtered_by_row(spark, folder, ranks, tmp_path):
+    keys = listed(spark, "u/r", "u/r_x", "v/s")
+    for fmt, layout in (("json", "bucket"), ("parquet", "parquet")):
+        target = str(tmp_path / fmt)
+        write_records(corpus.extract(spark, keys, folder, vocabulary=ranks), target, fmt=fmt, buckets=2)
+        rows = corpus.read_corpus(spark, target, listed(spark, "v/s"), layout=layout)
+        assert paths(rows) == ["s-main/z.py"]
+
+
+@pytest.mark.parametrize("run", ["extract", "dedupe"])
+def test_guards_raise_after_the_write(spark, folder, ranks, tmp_path, run):
+    from codequarry.operators.guards import EmptyInputError, RowGuard
+
+    source, target = str(tmp_path / "records"), str(tmp_path / "kept")
+    write_records(corpus.extract(spark, listed(spark, "u/r"), folder, vocabulary=ranks), source)
+
+    def records(names, guard):
+        keys = listed(spark, *names) if names else spark.createDataFrame([], "repo_key string")
+        if run == "extract":
+            return corpus.extract(spark, keys, folder, vocabulary=ranks, guard=guard)
+        return corpus.dedupe(spark, keys, source, layout="repo", guard=guard)
+
+    guard = RowGuard("records")
+    write_records(records(["u/r"], guard), target, guard=guard)
+    for names in ([], ["no/one"]):
+        guard = RowGuard("no records")
+        with pytest.raises(EmptyInputError, match="no records"):
+            write_records(records(names, guard), target, guard=guard)
+    (tmp_path / "empty").mkdir()
+    guard = RowGuard("empty folder")
+    rows = corpus.extract(spark, listed(spark, "u/r"), str(tmp_path / "empty"), vocabulary=ranks, guard=guard)
+    with pytest.raises(EmptyInputError, match="empty folder"):
+        write_records(rows, target, guard=guard)
+
+
+def make_zip(path, members):
+    with zipfile.ZipFile(path, "w") as out:
+        for name, data in members:
+            out.writestr(zipfile.ZipInfo(name), data)
+
+
+def test_refresh_extracts_what_changed(spark, folder, ranks, tmp_path):
+    from codequarry.plans import incremental
+
+    store = str(tmp_path / "store")
+    keys = listed(spark, "u/r", "u/r_x", "v/s")
+
+    def refreshed(keys):
+        found = incremental.refresh(spark, keys, folder, store, vocabulary=ranks).collect()
+        full = corpus.extract(spark, keys, folder, vocabulary=ranks)
+        assert set(map(tuple, incremental.stored_records(spark, store).collect())) == set(map(tuple, full.collect()))
+        unique = corpus.extract_unique(spark, keys, folder, vocabulary=ranks)
+        assert set(map(tuple, incremental.stored_unique(spark, store).collect())) == set(map(tuple, unique.collect()))
+        return {r.repo: r.status for r in found}
+
+    assert refreshed(keys) == {"u-r": "new", "u-r_x": "new", "v-s": "new"}
+    assert refreshed(keys) == {"u-r": "unchanged", "u-r_x": "unchanged", "v-s": "unchanged"}
+    make_zip(f"{folder}/u-r.zip", FILES["u-r"][:1] + [("r-main/d.md", b"# d"), ("r-main/z.py", b"zzz")])
+    make_zip(f"{folder}/w-t.zip", [("t/a.py", b"new")])
+    wider = listed(spark, "u/r", "u/r_x", "w/t")
+    assert refreshed(wider) == {"u-r": "changed", "u-r_x": "unchanged", "v-s": "gone", "w-t": "new"}
+    assert len({r.generation for r in incremental.manifest(spark, store)[0].collect()}) == 2
+    # Nothing of a changed archive is left, not even where it has no records any more.
+    make_zip(f"{folder}/w-t.zip", [("t/a.bin", b"\xff\xfe")])
+    assert refreshed(wider)["w-t"] == "changed"
+
+
+def test_refresh_that_failed_leaves_the_store(spark, folder, ranks, tmp_path, monkeypatch):
+    from codequarry.plans import incremental
+
+    store, keys = str(tmp_path / "store"), listed(spark, "u/r", "v/s")
+    incremental.refresh(spark, keys, folder, store, vocabulary=ranks)
+    before = set(map(tuple, incremental.stored_records(spark, store).collect()))
+    make_zip(f"{folder}/v-s.zip", [("s-main/other.py", b"other")])
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+        patch.setattr(incremental, "content_hash", lambda _: (_ for _ in ()).throw(RuntimeError()))
+        incremental.refresh(spark, keys, folder, store, vocabulary=ranks)
+    assert set(map(tuple, incremental.stored_records(spark, store).collect())) == before
+    found = incremental.refresh(spark, keys, folder, store, vocabulary=ranks)
+    assert {r.repo: r.status for r in found.collect()} == {"u-r": "unchanged", "v-s": "changed"}
+    assert "s-main/other.py" in paths(incremental.stored_records(spark, store))

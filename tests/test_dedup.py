@@ -77,3 +77,32 @@ def test_properties(spark, texts, partitions):
     assert sorted(r.id for r in kept) == sorted(texts.index(t) for t in set(texts))
     again = dedup.exact_dedup(spark.createDataFrame(kept, SCHEMA))
     assert again.count() == len(kept)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from("ab"), st.none() | st.text("ab\u00e9\U0001f642", max_size=10)), max_size=40))
+def test_least_strings_against_brute_force(spark, rows):
+    made = spark.createDataFrame(rows, "g string, v string").repartition(3)
+    least = {}
+    for group, value in rows:
+        if value is not None:
+            least[group] = min(least.get(group, value), value, key=str.encode)
+    assert {tuple(r) for r in dedup.least_strings(made, "g", "v").collect()} == set(least.items())
+    assert dedup.least_strings(made, "g", "v").count() == len(least)
+
+
+def test_string_ids_with_one_beginning(spark):
+    rows = [(f"record-{i:05}", "hot" if i % 3 else f"t{i}", "r") for i in range(3000, 0, -1)]
+    made = spark.createDataFrame(rows, "id string, text string, repo string").repartition(7)
+    kept = {r.id for r in dedup.exact_dedup(made).collect()}
+    assert kept == {"record-00001", *[f"record-{i:05}" for i in range(3, 3001, 3)]}
+    # Equal ids of equal texts survive together, once each in the list of survivors.
+    twice = made.unionByName(made)
+    assert dedup.content_survivors(twice).count() == len(kept)
+    assert dedup.exact_dedup(twice).filter("text = 'hot'").count() == 2
+
+
+def test_string_ids_need_no_sorted_aggregation(spark):
+    made = spark.createDataFrame([("b", "t", "r"), ("a", "t", "r")], "id string, text string, repo string")
+    plan = dedup.exact_dedup(made)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

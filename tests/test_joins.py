@@ -45,3 +45,18 @@ def test_guard(spark):
     assert require_non_empty(spark.range(1), "one").count() == 1
     with pytest.raises(EmptyInputError, match="none"):
         require_non_empty(spark.range(0), "none")
+
+
+@pytest.mark.parametrize("max_rows", [100, 0])
+def test_keys_are_evaluated_once(spark, rows, max_rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        seen.add(1)
+        return value
+
+    keys = spark.createDataFrame([("hot",), ("k1",)], "key string").coalesce(1)
+    keys = keys.select(F.udf(counted, "string").asNondeterministic()("key").alias("key"))
+    kept = keep_matching(rows, keys, "key", spread=["id"], max_rows=max_rows)
+    assert kept.count() == 1001 and kept.count() == 1001
+    assert seen.value == 2

@@ -23,8 +23,8 @@ from codequarry.functions import names, text
 from codequarry.functions.tokens import token_counter
 from codequarry.operators import dedup, fetch, languages, stats
 from codequarry.operators.joins import keep_matching
-from codequarry.plans import corpus
-from codequarry.schemas import WHITE_SPACE
+from codequarry.plans import corpus, incremental
+from codequarry.schemas import RECORD_COLUMNS, WHITE_SPACE
 from codequarry.session import prepare, shared_dir
 from codequarry.sinks.records import write_records
 from codequarry.sources import archives, catalog, records, repos
@@ -546,7 +546,8 @@ _EXTRACTED_SQL = f"""
       AND size_in_bytes <= {_CAP} AND source <> 'src7'"""
 
 
-def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+def archive_members(spark: SparkSession, sf_dir: str, content: Column | None = None) -> DataFrame:
+    """Members with the text, or other content, of each document."""
     lang, doc_id = F.col("lang"), F.col("doc_id")
     file = F.concat(F.lit("doc"), doc_id, F.lit("."), lang)
     path = (
@@ -554,7 +555,7 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("n_chars") % 13 == 0, F.concat(F.lit("main/../../"), file))
         .otherwise(F.concat(F.lit("main/"), lang, F.lit("/"), file))
     )
-    padded = F.concat(F.lit(" "), F.col("text"), F.lit("\n")).cast("binary")
+    padded = F.concat(F.lit(" "), F.col("text") if content is None else content, F.lit("\n")).cast("binary")
     broken = (lang == "fr") & (F.col("n_chars") % 2 == 1)
     batch = F.floor(doc_id / _ARCHIVE_DOCS)
     return table(spark, sf_dir, "documents").select(
@@ -565,11 +566,11 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def archive_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list of all archived repositories but those of ``src7``."""
+def archive_repos(spark: SparkSession, sf_dir: str, unlisted: str = "src7") -> DataFrame:
+    """The list of all archived repositories but those of one source."""
     batch = F.concat(F.lit("batch"), F.floor(F.col("doc_id") / _ARCHIVE_DOCS))
     line = F.concat(F.lit('"'), F.concat_ws("/", "source", batch), F.lit('"'))
-    others = table(spark, sf_dir, "documents").filter("source <> 'src7'")
+    others = table(spark, sf_dir, "documents").filter(F.col("source") != unlisted)
     return repos.valid_repos(repos.parse_repos(others.select(line.alias("value"))))
 
 
@@ -684,6 +685,19 @@ _IN_ARCHIVE = f"position('.' IN path) > 0 AND NOT contains(path, '..') AND size_
     WHERE {_IN_ARCHIVE} AND source NOT IN ('src3', 'src7')
       AND (broken OR (source = 'src4' AND n_chars % 5 = 0))""")
 def extract_quarantine(spark, sf_dir):
+    rows = corpus.extract(
+        spark,
+        archive_repos(spark, sf_dir),
+        flawed_zip_dir(spark, sf_dir),
+        vocabulary=None,
+        max_file_size=_CAP,
+        with_errors=True,
+    )
+    return corpus.rejected(rows).select("repo", "path", reason_of_error().alias("reason"))
+
+
+def flawed_zip_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Archives of which those of ``src3`` are cut short and some members of ``src4`` are damaged."""
     listed = table(spark, sf_dir, "documents")
     flaw = (
         F.when(F.col("source") == "src3", "cut")
@@ -691,20 +705,74 @@ def extract_quarantine(spark, sf_dir):
         .otherwise("")
     )
     members = archive_members(spark, sf_dir).join(listed.select("doc_id", flaw.alias("flaw")), "doc_id")
+    return stored_zip_dir(spark, sf_dir, members)
+
+
+def reason_of_error() -> Column:
+    return (
+        F.when(F.col("error").isNull(), F.lit(None))
+        .when(F.col("error").startswith("damaged"), "damaged")
+        .when(F.col("error") == "not UTF-8 text", "encoding")
+        .when(F.col("error") == "refused by the tokenizer", "tokenizer")
+        .otherwise("archive")
+    )
+
+
+@functools.cache
+def refusing_vocabulary() -> str:
+    """A tokenizer definition that has no token, and no unknown one, for a text with an umlaut u."""
+    from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({"x": 0}))
+    tokenizer.normalizer = normalizers.Replace(Regex("[^ü]+"), "x")
+    tokenizer.pre_tokenizer = pre_tokenizers.Split("ü", "isolated")
+    path = os.path.join(tempfile.mkdtemp(prefix="codequarry-"), "refusing.json")
+    tokenizer.save(path)
+    return path
+
+
+@query(f"""
+    SELECT repo, path, CASE WHEN contains(text, 'ü') THEN NULL ELSE CAST(text <> '' AS BIGINT) END AS tokens,
+           CASE WHEN contains(text, 'ü') THEN 'tokenizer' END AS reason
+    FROM ({_EXTRACTED_SQL})""")
+def extract_refused(spark, sf_dir):
+    """Records of a tokenizer that refuses some texts, and the texts it refused."""
     rows = corpus.extract(
         spark,
         archive_repos(spark, sf_dir),
-        stored_zip_dir(spark, sf_dir, members),
-        vocabulary=None,
+        stored_zip_dir(spark, sf_dir),
+        vocabulary=refusing_vocabulary(),
         max_file_size=_CAP,
         with_errors=True,
     )
-    reason = (
-        F.when(F.col("error").startswith("damaged"), "damaged")
-        .when(F.col("error") == "not UTF-8 text", "encoding")
-        .otherwise("archive")
+    rows = rows.filter(F.col("error").isNull() | (F.col("error") == "refused by the tokenizer"))
+    return rows.select("repo", "path", "tokens", reason_of_error().alias("reason"))
+
+
+_QUARANTINE_SQL = ORACLES["extract_quarantine"]
+
+
+@query(f"""
+    {_QUARANTINE_SQL}
+    UNION ALL
+    SELECT repo, path, CASE WHEN contains(text, 'ü') THEN 'tokenizer' END FROM (
+      SELECT e.* FROM ({_EXTRACTED_SQL}) e
+      WHERE NOT starts_with(repo, 'src3-') AND id NOT IN (
+        SELECT sha256(concat(repo, chr(0), path, chr(0), entry_index))
+        FROM (SELECT m.*, d.n_chars FROM ({_MEMBER_SQL}) m JOIN documents d USING (doc_id))
+        WHERE source = 'src4' AND n_chars % 5 = 0)
+      QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY id) = 1)""")
+def extract_unique_quarantine(spark, sf_dir):
+    """Unique records of flawed archives (no reason), and the account of all that is left out."""
+    rows = corpus.extract_unique(
+        spark,
+        archive_repos(spark, sf_dir),
+        flawed_zip_dir(spark, sf_dir),
+        vocabulary=refusing_vocabulary(),
+        max_file_size=_CAP,
+        with_errors=True,
     )
-    return corpus.rejected(rows).select("repo", "path", reason.alias("reason"))
+    return rows.select("repo", "path", reason_of_error().alias("reason"))
 
 
 @query(f"SELECT * FROM ({_EXTRACTED_SQL}) WHERE path LIKE '%.de' OR path LIKE '%.es'")
@@ -755,6 +823,24 @@ def extract_write_dedupe(spark, sf_dir):
 
 
 
+_CHANGED = "CAST(substr(source, 4) AS INT) % 3 = 1"
+
+
+@query(_DEDUPED_SQL.replace("FROM documents)", f"""FROM (SELECT * REPLACE (
+    CASE WHEN {_CHANGED} THEN concat(text, ' changed') ELSE text END AS text) FROM documents))"""))
+def extract_incremental(spark, sf_dir):
+    """A store that was filled, then refreshed after a third of the archives changed, one source came and one went."""
+    store, directory = shared_dir(spark, "store"), stored_zip_dir(spark, sf_dir)
+    options = {"vocabulary": small_vocabulary(), "max_file_size": _CAP}
+    incremental.refresh(spark, archive_repos(spark, sf_dir, unlisted="src9"), directory, store, **options)
+    changed = archive_members(spark, sf_dir, F.concat("text", F.lit(" changed")))
+    changed = changed.filter(F.substring_index("repo", "-", 1).substr(4, 9).cast("int") % 3 == 1)
+    zip_archives(changed, directory).write.format("noop").mode("overwrite").save()
+    incremental.refresh(spark, archive_repos(spark, sf_dir), directory, store, **options)
+    unique = incremental.stored_unique(spark, store)
+    return unique.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
+
+
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON line per document: some cut short, without a field, with a wrong type or followed by
@@ -812,15 +898,34 @@ def dedupe_written(spark, sf_dir):
     return back.select("repo", "path", text.content_hash(F.col("text")).alias("content_hash"))
 
 
+def write_flat(rows: DataFrame, directory: str) -> None:
+    """A ``<repo>.jsonl`` file for each repository, as other tools write them."""
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        repo = group["repo"].iloc[0]
+        filesystem, inner = fs.FileSystem.from_uri(storage_uri(f"{directory}/{repo}.jsonl"))
+        filesystem.create_dir(inner.rpartition("/")[0])
+        with filesystem.open_output_stream(inner) as stream:
+            for line in group["line"]:
+                stream.write(line.encode() + b"\n")
+        return pd.DataFrame([{"repo": repo}])
+
+    lines = rows.select("repo", F.to_json(F.struct(*RECORD_COLUMNS)).alias("line"))
+    lines.groupBy("repo").applyInPandas(write, "repo string").write.format("noop").mode("overwrite").save()
+
+
 @query(f"""
     SELECT layout, repo, path, md5(text) AS content_hash
-    FROM ({_EXTRACTED_SQL}), (VALUES ('bucket'), ('parquet'), ('repo')) AS l(layout)""")
+    FROM ({_EXTRACTED_SQL}), (VALUES ('bucket'), ('file'), ('parquet'), ('repo')) AS l(layout)""")
 def read_layouts(spark, sf_dir):
     """Records written and read in each folder layout."""
     written = shared_dir(spark, "records")
     write_records(extracted(spark, sf_dir, small_vocabulary()), written, fmt="parquet")
     rows = corpus.read_corpus(spark, written, layout="parquet")
     found = [("parquet", rows)]
+    flat = shared_dir(spark, "records")
+    write_flat(rows, flat)
+    found.append(("file", corpus.read_corpus(spark, flat, archive_repos(spark, sf_dir), layout="file")))
     for layout, options in (("repo", {}), ("bucket", {"buckets": 3})):
         directory = shared_dir(spark, "records")
         write_records(rows, directory, **options)
