@@ -44,12 +44,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes words of 50-word windows that a smaller-numbered document has; what lost all words goes.
 
-    Untouched texts stay as they are, others are their kept words joined by spaces.
+    Untouched texts stay as they are, null ones too, others are their kept words joined by spaces.  Rows that
+    repeat a number do not remove each other's words.
     """
     prepare(spark)
-    deduplicated = substring_dedup.deduplicate(docs, carry=tuple(docs.columns))
+    # The text crosses the shuffle once: of all else only whether it was null comes along.
+    mark = "null_text" + "_" * sum(map(len, docs.columns))
+    marked = docs.withColumn(mark, F.col("text").isNull())
+    others = tuple(name for name in marked.columns if name != "text")
+    deduplicated = substring_dedup.deduplicate(marked, carry=others, untouched=True)
     kept = deduplicated.filter("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept"))
+    text = F.when(~F.col("carried")[mark], F.col("kept"))
     return kept.select(*_with_text(docs, "carried", text))
 
 
@@ -68,7 +73,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def _with_text(docs: DataFrame, row: str, text) -> list:
     new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return [new.get(name, F.col(row)[name]).alias(name) for name in docs.columns]
+    return [(new[name] if name in new else F.col(row)[name]).alias(name) for name in docs.columns]
 
 
 STAGES = [
