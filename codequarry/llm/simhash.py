@@ -358,9 +358,10 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """``component, hash, member, size``: the shingles of each set that are rarest in its component.
+    """``component, hash, member, size, rest``: the shingles of each set that are rarest in its component.
 
     They are so many that two sets of at least the similarity share one.  Shingles of one set are left out.
+    ``rest`` counts the set's shingles that come after this one, by rarity.
     """
     counts = sets.select("component", F.explode("shingles").alias("hash")).groupBy("component", "hash").count()
     listed = sets.select("component", "member", F.size("shingles").alias("size"), F.explode("shingles").alias("hash"))
@@ -369,8 +370,9 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     least = F.ceil(F.lit(similarity) * F.col("size") - 1e-6).cast("int")
     # Shingles of one set are the rarest and have the first places.
     wanted = F.size("found") - least + 1
-    some = found.filter(wanted > 0).withColumn("found", F.slice("found", F.lit(1), wanted))
-    return some.select("component", F.explode("found.hash").alias("hash"), "member", "size")
+    some = found.filter(wanted > 0).withColumn("shared", F.size("found")).withColumn("found", F.slice("found", F.lit(1), wanted))
+    listed = some.select("component", F.posexplode("found.hash").alias("place", "hash"), "member", "size", "shared")
+    return listed.select("component", "hash", "member", "size", (F.col("shared") - F.col("place") - 1).alias("rest"))
 
 
 def _similar_to_earlier(sets: DataFrame, similarity: float, most_pairs: int) -> list[DataFrame]:
@@ -399,8 +401,11 @@ def _similar_to_earlier(sets: DataFrame, similarity: float, most_pairs: int) ->
         led = asked.join(leaders.withColumnRenamed("member", "first"), "first", "left_semi")
         removed.append(materialize(_alike(led, sets, similarity).select("member").distinct(), "alike"))
         tokens = materialize(tokens.join(leaders.unionByName(removed[-1]), "member", "left_anti"), "prefixes")
-    others = tokens.withColumnsRenamed({"member": "first", "size": "first_size"})
+    others = tokens.withColumnsRenamed({"member": "first", "size": "first_size", "rest": "first_rest"})
     near = F.least("size", "first_size") >= similarity * F.greatest("size", "first_size") - 1e-6
+    # Where two similar sets first meet, what comes after it in both must still hold the overlap that they need.
+    needed = similarity / (1 + similarity) * (F.col("size") + F.col("first_size")) - 1e-6
+    near &= F.least("rest", "first_rest") + 1 >= needed
     pairs = tokens.join(others, ["component", "hash"]).filter((F.col("first") < F.col("member")) & near)
     links = materialize(_alike(pairs.select("first", "member").distinct(), sets, similarity), "similar")
     while not links.isEmpty():

@@ -156,14 +156,17 @@ def repeated_windows(docs: DataFrame, window: int = 50, period: int | None = Non
     return settle(candidates.mapInArrow(_windows(window, period, buckets), PACKED), _repeated, buckets)
 
 
-def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, window: int = 50, period: int | None = None, carry: tuple[str, ...] = (), untouched: bool = False
+) -> DataFrame:
     """``doc_id, mark, n_words, n_removed, kept``: whole texts without words of windows seen before.
 
     Columns named in ``carry`` come along as the struct ``carried``.
 
     A word is removed if a window over it also starts in a document with a smaller number; windows are
     judged on the input.  Null texts have no words; a null number is greater than all others; rows of
-    equal number do not remove each other's words.  ``kept`` holds the other words, joined by spaces.
+    equal number do not remove each other's words.  ``kept`` holds the other words, joined by spaces; with
+    ``untouched`` a text that loses none is kept as it is.
     """
     rows = with_found(marked(docs, carry), repeated_windows(docs, window, period), "left")
 
@@ -180,7 +183,10 @@ def deduplicate(docs: DataFrame, window: int = 50, period: int | None = None, ca
                 gone = np.cumsum(covered)[: len(words)] > 0
                 counts.append(len(words))
                 removed.append(int(gone.sum()))
-                kept.append(b" ".join(word for word, out in zip(words, gone.tolist()) if not out) if removed[-1] else b" ".join(words))
+                if removed[-1]:
+                    kept.append(b" ".join(word for word, out in zip(words, gone.tolist()) if not out))
+                else:
+                    kept.append(text if untouched else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(name) for name in same],

@@ -51,9 +51,25 @@ def test_empty_table(spark, planted):
     assert docs.count() == 0
 
 
+def test_passage_dedup_keeps_null_and_untouched_texts(spark):
+    rnd = random.Random(1)
+    words = lambda n: " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(n))
+    passage, odd = words(60), "  two  spaces\n" + words(60)
+    long = words(30_000)
+    rows = [(1, None), (2, ""), (3, odd), (4, f"{words(5)} {passage}"), (5, f"{passage} {words(3)}"), (6, passage), (None, None), (7, long), (8, long)]
+    table = [(i, t, "en", "s", len(t) if t else None, "kept", "carried") for i, t in [*rows, rows[2]]]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long, kept string, carried string")
+    found = corpus_pipeline.passage_dedup(spark, docs, "")
+    assert found.dtypes == docs.dtypes
+    texts = sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    last = (5, " ".join(rows[4][1].split()[60:]))
+    assert texts == sorted([*rows[:4], last, rows[6], rows[7], rows[2]], key=repr)
+    assert all((r.kept, r.carried) == ("kept", "carried") for r in found.collect())
+
+
 def test_registered():
     found = driver.queries()
-    assert {f"op{n}_" for n in range(1, 11)} <= {name[: name.index("_") + 1] for name in found if name.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {name[: name.index("_") + 1] for name in found if name.startswith("op")}
     assert found["pipeline"] is corpus_pipeline.run
     assert set(driver.oracle_sql()) <= set(found)
 
