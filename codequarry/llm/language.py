@@ -14,13 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import is_remainder
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 5
 _AT_ONCE = 10_000

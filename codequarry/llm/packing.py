@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import KEY, list_array, materialize, texts
-from .vocabulary import encoding
+from .vocabulary import ids_of, odd_characters
 
 # What a sequence holds: (length, times) runs in their order; and how many sequences hold it.
 Combination = tuple[tuple[tuple[int, int], ...], int]
@@ -28,8 +28,8 @@ def _runs(lengths: list[int]) -> tuple[tuple[int, int], ...]:
     return tuple((length, lengths.count(length)) for length in sorted(set(lengths), reverse=True))
 
 
-def exact_complements(left: np.ndarray, capacity: int) -> list[Combination]:
-    """Takes from ``left`` (how many of each length) what fills sequences exactly: one, two or three lengths."""
+def exact_complements(left: np.ndarray, capacity: int, most: int = 3) -> list[Combination]:
+    """Takes from ``left`` (how many of each length) what fills sequences exactly: one, two or three lengths, ``most`` at most."""
     plan: list[Combination] = []
 
     def take(lengths: list[int]) -> None:
@@ -41,9 +41,9 @@ def exact_complements(left: np.ndarray, capacity: int) -> list[Combination]:
                 left[length] -= times * k
 
     take([capacity])
-    for longer in range(capacity - 1, (capacity - 1) // 2, -1):
+    for longer in range(capacity - 1, (capacity - 1) // 2, -1) if most > 1 else ():
         take([longer, capacity - longer])
-    for longest in range(capacity - 2, 0, -1):
+    for longest in range(capacity - 2, 0, -1) if most > 2 else ():
         rest = capacity - longest
         if not left[longest]:
             continue
@@ -84,11 +84,18 @@ def best_fit(left: np.ndarray, capacity: int) -> list[Combination]:
 
 
 def plan_lengths(counts: dict[int, int], capacity: int) -> list[Combination]:
-    """Which lengths share a sequence, and in how many sequences; uses every length exactly as often as counted."""
-    left = np.zeros(capacity + 1, np.int64)
-    for length, count in counts.items():
-        left[length] = count
-    return exact_complements(left, capacity) + best_fit(left, capacity)
+    """Which lengths share a sequence, and in how many sequences; uses every length exactly as often as counted.
+
+    Triples and pairs may take the small lengths that would fill gaps later, so the plan is made with
+    combinations of up to three, two and one lengths, and that of fewest sequences counts.
+    """
+    plans = []
+    for most in (3, 2, 1):
+        left = np.zeros(capacity + 1, np.int64)
+        for length, count in counts.items():
+            left[length] = count
+        plans.append(exact_complements(left, capacity, most) + best_fit(left, capacity))
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
 
 
 def _places(plan: list[Combination]) -> tuple[np.ndarray, ...]:
@@ -115,13 +122,14 @@ def token_pieces(
     of the division, all others are full.
     """
 
+    odd = odd_characters(vocabulary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoding(vocabulary)
+        encode = ids_of(vocabulary, odd, special_as_text)
         for batch in batches:
             rows, parts = [], []
             for at, text in enumerate(batch.column("text").to_pylist()):
-                found = coder.encode_ordinary(text) if special_as_text else coder.encode(text, allowed_special="all")
-                ids = np.array([*found, 0], "<u4")
+                ids = np.array([*encode(text), 0], "<u4")
                 ends = np.arange(len(ids) % capacity or capacity, len(ids) + 1, capacity).tolist()
                 start = 0
                 for piece, end in enumerate(ends if len(ids) > capacity else [len(ids)]):
@@ -195,7 +203,10 @@ def pack(pieces: DataFrame, capacity: int = 2048, groups: int | None = None) ->
 def pack_documents(
     docs: DataFrame, vocabulary: str, capacity: int = 2048, keep_ids: bool = False, special_as_text: bool = True
 ) -> DataFrame:
-    """Whole documents as packed pieces: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``)."""
+    """Whole documents as packed pieces: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` (and ``ids``).
+
+    Null texts are empty, a closing 0 alone; null and repeated numbers and repeated rows are packed each.
+    """
     pieces = materialize(token_pieces(docs, vocabulary, capacity, keep_ids, special_as_text), "pieces")
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return pack(pieces, capacity).select(*names, *(["ids"] if keep_ids else []))

@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from codequarry.llm import alignment, prefix_trie, token_counts
+from codequarry.llm import alignment, language, packing, prefix_trie, token_counts
 from codequarry.llm.vocabulary import ids_of, odd_characters, pre_tokens
 
 DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
@@ -239,3 +239,30 @@ def test_ends_of_one_node_written_in_parts(spark):
     ends = spark.range(1000).selectExpr("7L as conv_id", "2L as depth", "id * 3 as member").repartition(5)
     found = prefix_trie._end_digests(ends, at_once=64).collect()
     assert [tuple(row) for row in found] == [(7, 2, hashlib.sha256(",".join(str(3 * i) for i in range(1000)).encode()).hexdigest())]
+
+
+def test_never_more_sequences_than_plain_best_fit():
+    rnd = random.Random(12)
+    for _ in range(60):
+        capacity = rnd.choice([10, 64, 200])
+        counts = Counter(min(capacity, 1 + int(rnd.expovariate(rnd.choice([3, 10]) / capacity))) for _ in range(rnd.randint(1, 400)))
+        plan = packing.plan_lengths(counts, capacity)
+        used = Counter()
+        for runs, times in plan:
+            assert sum(length * k for length, k in runs) <= capacity
+            for length, k in runs:
+                used[length] += k * times
+        assert used == counts
+        rooms: list[int] = []
+        for length in sorted(counts.elements(), reverse=True):
+            room = min((r for r in rooms if r >= length), default=None)
+            if room is not None:
+                rooms.remove(room)
+            rooms.append((capacity if room is None else room) - length)
+        assert sum(times for _, times in plan) <= len(rooms)
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    docs = spark.createDataFrame([(0, "the and of", "en"), (2, "der und die", "de"), *[(10 + i, t, "en") for i, t in enumerate(["½ ² ①", "Ⅷ", "١٢", "_", "a½"])]], "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    assert [found[i] for i in range(10, 14)] == [("und", 0.0)] * 4 and found[14][0] != "und"
