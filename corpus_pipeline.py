@@ -36,9 +36,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group whose five-word shingles are alike by 0.8 or more."""
+    """Keeps the smallest-numbered document of each group linked by three-word fingerprints at distance 3.
+
+    Null numbers come after all others, null texts have no words, and of rows that repeat number and text one stays.
+    """
     prepare(spark)
-    return simhash.remove_near_duplicates(docs)
+    return simhash.remove_near_duplicates(docs, shingle=3, distance=3)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
