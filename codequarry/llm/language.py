@@ -53,15 +53,20 @@ class Model:
         return []
 
     def forms(self, forms: list[str]) -> np.ndarray:
-        """Scores of forms: strings without white space, of which the runs of letters are words."""
+        """Scores of forms: strings without white space, of which the runs of letters are words.
+
+        The last two columns count a form's words, and those of them that were learned as a whole.
+        """
         rows, weights, owners = [], [], []
+        out = np.zeros((len(forms), len(self.languages) + 2))
         for owner, form in enumerate(forms):
             for word in _WORD.findall(form):
+                out[owner, -2] += 1
+                out[owner, -1] += word in self.rows[0]
                 found = self.word(word)
                 rows += found
                 weights += [1 / len(found)] * len(found) if found else []
                 owners += [owner] * len(found)
-        out = np.zeros((len(forms), len(self.languages)))
         values = self.table[rows] * np.array(weights)[:, None]
         for language in range(len(self.languages)):
             out[:, language] = np.bincount(owners, weights=values[:, language], minlength=len(forms))
@@ -138,18 +143,20 @@ def train(
 
 
 def predict(docs: DataFrame, model: Model, kept: int = 150_000) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; only ``text`` is looked at.
+    """``docs`` with ``lang_pred``, ``score`` and ``known``; only ``text`` is looked at.
 
-    ``und`` and 0 for texts that are null or have no letter, and if no language was learned.  The score
-    is the probability of the language among those learned, its words taken as independent; ties go
-    to the language that sorts first.  Scores of ``kept`` word forms at most are remembered.
+    ``und`` and zeros for texts that are null or have no letter, and if no language was learned.  The score
+    is the probability of the language among those learned given a word of the text's mean log
+    frequencies, so that it does not grow with the text; ties go to the language that sorts first.
+    ``known`` is the share of the text's words that were learned as a whole, in any language.  Scores of
+    ``kept`` word forms at most are remembered.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = broadcast.value
         places: dict[str, int] = {}
-        table = np.zeros((kept + _AT_ONCE, len(learned.languages)))
+        table = np.zeros((kept + _AT_ONCE, len(learned.languages) + 2))
 
         def scored(forms: list[str]) -> np.ndarray:
             if len(places) > kept:
@@ -159,22 +166,26 @@ def predict(docs: DataFrame, model: Model, kept: int = 150_000) -> DataFrame:
             places.update(zip(new, range(len(places), len(places) + len(new))))
             return table[np.fromiter(map(places.__getitem__, forms), np.int64, len(forms))].sum(axis=0)
 
-        def predicted(text: str | None) -> tuple[str, float]:
+        def predicted(text: str | None) -> tuple[str, float, float]:
             if not text or not learned.languages or not _LETTER.search(text):
-                return UNDETERMINED, 0.0
+                return UNDETERMINED, 0.0, 0.0
             forms = text.lower().split()
             total = sum(scored(forms[begin : begin + _AT_ONCE]) for begin in range(0, len(forms), _AT_ONCE))
-            odds = np.exp(total - total.max())
-            best = int(odds.argmax())
-            return learned.languages[best], float(odds[best] / odds.sum())
+            # Letters that are marks or numerals only in lower case leave no word.
+            words = max(total[-2], 1.0)
+            best = int(total[:-2].argmax())
+            odds = np.exp((total[:-2] - total[best]) / words)
+            return learned.languages[best], float(1 / odds.sum()), float(total[-1] / words)
 
         for batch in batches:
             found = [predicted(text) for text in batch.column("text").to_pylist()]
-            batch = batch.append_column("lang_pred", pa.array([lang for lang, _ in found], pa.string()))
-            yield batch.append_column("score", pa.array([score for _, score in found], pa.float64()))
+            langs, scores, shares = zip(*found) if found else ((), (), ())
+            batch = batch.append_column("lang_pred", pa.array(langs, pa.string()))
+            batch = batch.append_column("score", pa.array(scores, pa.float64()))
+            yield batch.append_column("known", pa.array(shares, pa.float64()))
 
     fields = [f"`{field.name}` {field.dataType.simpleString()}" for field in docs.schema]
-    return docs.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    return docs.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double", "known double"]))
 
 
 def identify(docs: DataFrame, modulus: int = 3, held_out: int = 1, **bounds) -> DataFrame:

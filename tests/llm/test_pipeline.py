@@ -23,6 +23,8 @@ def planted(spark):
     rows += [(100, None, "en"), (101, "12 34", "en"), (102, rows[3][1], "en"), (103, rows[3][1] + " end", "en")]
     rows += [(104, f"{passage} {text('en', 40)}", None), (105, f"{text('en', 40)} {passage}", "en")]
     rows += [(106, text("en", 60) + " password=abcdefgh12345 " + text("en", 60), "en"), (None, text("en", 90), "en")]
+    # An unlearned language, gibberish of seldom letters, and one of the learned ones without a label.
+    rows += [(110, "это текст на другом языке", None), (111, "xqzv wkjp qqzx zzxw vbvm", None), (112, text("de", 30), None)]
     return spark.createDataFrame([(i, t, lang, "s", len(t) if t else None) for i, t, lang in rows], SCHEMA)
 
 
@@ -35,7 +37,7 @@ def test_stages(spark, planted):
             assert docs.dtypes == before.dtypes
     ids = {name: {r.doc_id for r in table.collect()} for name, table in seen.items()}
     everything = {r.doc_id for r in planted.collect()}
-    assert ids["language_id"] == everything - {100, 101}
+    assert ids["language_id"] == everything - {100, 101, 110, 111}
     linked = simhash.components(seen["language_id"]).filter("not doc_id <=> component_id").collect()
     assert {102} <= {r.doc_id for r in linked} <= {102, 103}
     assert ids["near_dedup"] == ids["language_id"] - {r.doc_id for r in linked}

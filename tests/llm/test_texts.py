@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -437,6 +438,43 @@ def test_language_id(spark, docs, empty):
     assert language.identify(empty).count() == 0
 
 
+def _word_first(rows):
+    """Predictions and scores from plain counts: whole words, else the longest n-grams of which any was learned."""
+    seen = defaultdict(Counter)
+    words = lambda text: re.findall(r"[^\W\d_]+", text.lower())
+    grams = lambda word, n: [word] if not n else [f"<{word}>"[i : i + n] for i in range(len(word) + 3 - n)]
+    for doc, text, lang in rows:
+        if text is not None and lang is not None and (doc is None or zlib.crc32(str(doc).encode()) % 3 != 1):
+            for word in words(text):
+                for n in range(6):
+                    seen[n, lang].update(grams(word, n))
+    langs = sorted({lang for _, lang in seen})
+    learned = {n: set().union(*(seen[n, lang] for lang in langs)) for n in range(6)}
+    size = {(n, lang): seen[n, lang].total() + 0.5 * (len(learned[n]) + 1) for n in range(6) for lang in langs}
+    for doc, text, _ in rows:
+        if not text or not any(unicodedata.category(c).startswith("L") for c in text):
+            yield doc, "und", 0.0
+            continue
+        sums = dict.fromkeys(langs, 0.0)
+        for word in words(text):
+            kind = next((n for n in (0, 5, 4, 3, 2, 1) if learned[n].intersection(grams(word, n))), None)
+            parts = [gram for gram in grams(word, kind) if gram in learned[kind]] if kind is not None else []
+            for lang in langs:
+                sums[lang] += sum(math.log((seen[kind, lang][g] + 0.5) / size[kind, lang]) for g in parts) / max(len(parts), 1)
+        best = max(sums, key=lambda lang: round(sums[lang], 6))
+        yield doc, best, round(1 / sum(math.exp((x - sums[best]) / max(len(words(text)), 1)) for x in sums.values()), 6)
+
+
+def test_language_id_against_plain_counts(spark, docs):
+    from conftest import SF
+
+    table = spark.read.parquet(SF + "/documents.parquet").select("doc_id", "text", "lang")
+    for some in (docs.select("doc_id", "text", "lang"), table):
+        found = [(r.doc_id, r.lang_pred, round(r.score, 6)) for r in language.identify(some).collect()]
+        for got, expected in zip(_sorted(found), _sorted(_word_first([tuple(r) for r in some.collect()])), strict=True):
+            assert got[:2] == expected[:2] and got[2] == pytest.approx(expected[2], abs=2e-6)
+
+
 def test_language_without_labels(spark):
     table = spark.createDataFrame([(0, "the house", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in language.identify(table).collect()] == [("und", 0.0)]
