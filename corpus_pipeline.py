@@ -16,18 +16,22 @@ from codequarry.session import prepare
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 DEFINITION = public_tokenizers.path("byte_bpe_50k.json")
-LEAST_SCORE = 0.4
+# A text below both is in no learned language.
+LEAST_SCORE = 0.75
+LEAST_KNOWN = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a learned language; a null label becomes the predicted one.
 
-    Rejected: null texts, texts without a letter, and scores below ``LEAST_SCORE``.
+    Rejected: null texts, texts without a letter, and those that are neither clearly of one language
+    (``LEAST_SCORE``) nor made of learned words (``LEAST_KNOWN``), such as unlearned languages and gibberish.
     """
     prepare(spark)
     model = language.train(docs.filter(~is_remainder("doc_id", 3, 1)))
     rows = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"), docs["text"])
-    kept = language.predict(rows, model).filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    is_learned = (F.col("score") >= LEAST_SCORE) | (F.col("known") >= LEAST_KNOWN)
+    kept = language.predict(rows, model).filter((F.col("lang_pred") != language.UNDETERMINED) & is_learned)
     columns = [
         F.coalesce("row.lang", "lang_pred").alias("lang") if name == "lang" else F.col("row")[name].alias(name)
         for name in docs.columns
