@@ -186,19 +186,77 @@ def test_language_model_without_training_rows(spark):
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
 
 
-def test_language_model_is_a_distribution(spark):
-    """After any class, the probabilities of all known words and of one unknown word sum to one."""
-    rows = spark.createDataFrame([(1, "a b c a b d e f a"), (2, "b a f f g")], "doc_id long, text string")
-    text = rows.select(F.col("text").cast("binary").alias("text"))
-    counts = class_ngrams.word_counts(text)
-    model = class_ngrams.train(text, counts, frequent=5, core=3, classes=2)
-    every = {bytes(r.word): r.n for r in counts.collect()}
-    for before in range(3):
-        total = 0.5 * 10 ** model.factor[before, 2]
-        for word, n in every.items():
-            kind = model.classes[model.number.get(word, len(model.number))]
-            total += (n + 0.5) * 10 ** model.factor[before, kind]
-        assert total == pytest.approx(1.0) or not (model.classes[:-1] == 1).any() or not (model.classes[:-1] == 0).any()
+def _trained(rows, spark, **bounds):
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    text = table.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    model, classed = class_ngrams.train(text, class_ngrams.word_counts(text), **bounds)
+    contexts = {word: int(model.contexts[i]) for word, i in model.number.items()}
+    return model, contexts, {bytes(r.word): (r.n, r["class"]) for r in classed.collect()}
+
+
+def _after(rows, contexts, classes):
+    """By word, how often it comes after each context."""
+    seen = defaultdict(Counter)
+    for _, text in rows:
+        words = [b" ", *[w.lower() for w in WORD.findall((text or "").encode())], b" "]
+        for before, word in zip(words, words[1:]):
+            seen[word][contexts.get(before, classes)] += 1
+    return seen
+
+
+def _probability(rows, contexts, classed, classes, mixed=0.95):
+    """P(word | context) from plain counts of the classes and contexts."""
+    seen = _after(rows, contexts, classes)
+    moves, sizes = defaultdict(Counter), defaultdict(float, {classes: 0.5})
+    for word, counts in seen.items():
+        n, kind = classed[word]
+        assert n == counts.total() and (kind == classes) == (n == 1)
+        sizes[kind] += n + 0.5
+        for context, times in counts.items():
+            moves[context][kind] += times
+    plain = sum(n for n, _ in classed.values()) + 0.5 * (len(classed) + 1)
+
+    def probability(context, word):
+        n, kind = classed.get(word, (0, classes))
+        step = (moves[context][kind] + 0.5) / (moves[context].total() + 0.5 * len(sizes))
+        return mixed * step * (n + 0.5) / sizes[kind] + (1 - mixed) * (n + 0.5) / plain
+
+    return probability
+
+
+LM_BOUNDS = [{"frequent": 40, "core": 10, "classes": 3}, {"frequent": 200, "core": 60, "classes": 4, "rounds": 2}, {"classes": 5}]
+
+
+@pytest.mark.parametrize("bounds", LM_BOUNDS)
+def test_language_model_scores_are_those_of_plain_counts(spark, rows, bounds):
+    training = rows[::2]
+    model, contexts, classed = _trained(training, spark, **bounds)
+    classes = bounds["classes"]
+    probability = _probability(training, contexts, classed, classes)
+    # After any context, the probabilities of all known words and of one unknown word sum to one.
+    for context in range(classes + 1):
+        assert sum(probability(context, word) for word in [*classed, b"never seen"]) == pytest.approx(1.0)
+    table = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    asked = table.select("doc_id", F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    words = spark.createDataFrame([(w, n, c) for w, (n, c) in classed.items()], "word binary, n long, class int")
+    for r in class_ngrams.score(asked, model, words).collect():
+        tokens = [b" ", *[w.lower() for w in WORD.findall((rows[r.doc_id][1] or "").encode())], b" "]
+        expected = sum(math.log10(probability(contexts.get(a, classes), b)) for a, b in zip(tokens, tokens[1:]))
+        assert r.score == pytest.approx(expected, abs=1e-6)
+
+
+def test_rounds_end_where_no_word_has_a_likelier_class(spark, rows):
+    """All words, not only frequent ones, are where the likelihood of what comes after each context is greatest."""
+    model, contexts, classed = _trained(rows, spark, frequent=50, core=20, classes=3, rounds=60)
+    seen = _after(rows, contexts, 3)
+    table = np.zeros((4, 3))
+    for word, counts in seen.items():
+        for context, n in counts.items():
+            if classed[word][1] < 3:
+                table[context, classed[word][1]] += n
+    evidence = np.log((table + 0.5) / (table + 0.5).sum(axis=0))
+    moved = [w for w, c in seen.items() if c.total() > 1 and classed[w][1] != sum(n * evidence[k] for k, n in c.items()).argmax()]
+    assert not moved and sum(c < 3 for _, c in classed.values()) > 200
 
 
 def _likelihood(pairs, member):
