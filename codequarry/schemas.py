@@ -37,6 +37,24 @@ ENTRY = T.StructType(
     ]
 )
 
+# A byte range of a central directory, of which the entries between ``first`` and ``last`` are listed.
+# ``begin`` is NULL for a directory that is listed as a whole.
+DIRECTORY_PART = T.StructType(
+    [
+        T.StructField("archive", T.StringType()),
+        T.StructField("stem", T.StringType()),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("begin", T.LongType()),
+        T.StructField("until", T.LongType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("stop", T.LongType()),
+        T.StructField("shift", T.LongType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
 CATALOG = T.StructType(
     [
         T.StructField("language", T.StringType()),

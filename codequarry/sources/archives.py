@@ -12,17 +12,19 @@ import io
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from codequarry.functions import names
-from codequarry.schemas import ENTRY, MAX_FILE_SIZE
+from codequarry.schemas import DIRECTORY_PART, ENTRY, MAX_FILE_SIZE
 from codequarry.sources import zip_entries
 from codequarry.sources.folders import chosen_paths, list_files
 
 SPLIT_BYTES = 128 << 20
+# What one task lists of a long central directory.
+DIRECTORY_BYTES = 8 << 20
 # What one binary cell holds at most.
 CELL_BYTES = (1 << 31) - (1 << 20)
 _BATCH_ROWS = 1000
@@ -114,6 +116,88 @@ def _entries_of(archive: str, stem: str, content: bytes | None = None) -> Iterat
         yield common | {"error": f"{type(error).__name__}: {error}"}
 
 
+def list_long_directories(
+    archives: DataFrame, tasks: int, *, longer_than: int = SPLIT_BYTES, directory_bytes: int = DIRECTORY_BYTES
+) -> DataFrame:
+    """What ``list_archive_entries`` gives for (archive, stem, length) rows, with long directories listed by many tasks.
+
+    Directories above ``directory_bytes`` in archives above ``longer_than`` are cut into byte ranges.  A first
+    pass finds the first entry and the end of the last entry of each range.  Where the first range begins with
+    the directory, each range begins where the one before ends, and the last ends with the directory, these
+    are the directory's entries, and their counts number them.  An archive of which this does not hold, a
+    damaged one for example, is listed by one task.
+    """
+    parts = archives.select("archive", "stem", "length").repartition(tasks)
+    cut = functools.partial(_cut_directories, longer_than=longer_than, directory_bytes=directory_bytes)
+    walked = parts.mapInArrow(cut, DIRECTORY_PART).repartition(tasks).mapInArrow(_walk_directories, DIRECTORY_PART)
+
+    whole = Window.partitionBy("archive", "stem")
+    earlier = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("last").over(earlier), F.col("start"))
+    # No entry begins in a range that the one before it covers.
+    follows = F.when(F.col("first").isNull(), reached >= F.col("until")).otherwise(F.col("first") == reached)
+    proven = F.coalesce(F.min("follows").over(whole) & (F.max("last").over(whole) == F.max("stop").over(whole)), F.lit(False))
+    numbered = walked.withColumns({"follows": follows, "first_index": F.coalesce(F.sum("n").over(earlier), F.lit(0))})
+    chosen = numbered.withColumn("proven", proven).filter(
+        (F.col("proven") & (F.col("n") > 0)) | (~F.col("proven") & (F.col("part") == 0))
+    )
+    first = F.when(F.col("proven"), F.col("first")).alias("first")
+    schema = to_arrow_schema(ENTRY)
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                entries = _entries_of if row["first"] is None else functools.partial(_entries_of_part, row)
+                yield from _batched(entries(row["archive"], row["stem"]), schema)
+
+    narrow = chosen.select("archive", "stem", first, "last", "first_index", "shift")
+    return narrow.repartition(tasks).mapInArrow(listing, ENTRY)
+
+
+def _cut_directories(
+    batches: Iterator[pa.RecordBatch], longer_than: int, directory_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """Byte ranges of long directories, and one row without a range for every other archive."""
+
+    def parts(row: dict) -> Iterator[dict]:
+        found = None
+        if row["length"] > max(longer_than, directory_bytes):
+            with zip_entries.open_archive(row["archive"]) as stream:
+                found = zip_entries.find_directory(stream)
+        common = {"archive": row["archive"], "stem": row["stem"]}
+        if found is None or found[1] - found[0] <= directory_bytes:
+            yield common | {"part": 0}
+            return
+        start, stop, shift = found
+        for part, begin in enumerate(range(start, stop, directory_bytes)):
+            place = {"part": part, "begin": begin, "until": min(begin + directory_bytes, stop)}
+            yield common | place | {"start": start, "stop": stop, "shift": shift}
+
+    for batch in batches:
+        yield from _batched((part for row in batch.to_pylist() for part in parts(row)), to_arrow_schema(DIRECTORY_PART))
+
+
+def _walk_directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Byte ranges with the place of their entries, and how many they are."""
+
+    def walked(row: dict) -> dict:
+        if row["begin"] is None:
+            return row
+        with zip_entries.open_archive(row["archive"]) as stream:
+            found = zip_entries.entries_between(stream, row["begin"], row["until"], row["stop"])
+        return row | dict(zip(("first", "last", "n"), found or (None, None, 0)))
+
+    for batch in batches:
+        yield from _batched(map(walked, batch.to_pylist()), to_arrow_schema(DIRECTORY_PART))
+
+
+def _entries_of_part(part: dict, archive: str, stem: str) -> Iterator[dict]:
+    with zip_entries.open_archive(archive) as stream:
+        place = (part[name] for name in ("first", "last", "first_index", "shift"))
+        for entry in zip_entries.list_entries_between(stream, *place):
+            yield {"repo": stem, "archive": archive} | entry
+
+
 def archive_errors(entries: DataFrame) -> DataFrame:
     """The quarantine of a listing or a scan: unreadable archives, encrypted and damaged members."""
     return entries.filter(F.col("error").isNotNull()).select(
@@ -189,6 +273,7 @@ def scan_archives(
     keep_entries: Callable[[DataFrame], DataFrame] | None = None,
     regroup: bool = False,
     split_bytes: int = SPLIT_BYTES,
+    directory_bytes: int = DIRECTORY_BYTES,
     with_errors: bool = False,
 ) -> DataFrame:
     """Readable members of the archives with their content.
@@ -198,7 +283,8 @@ def scan_archives(
 
     The listing is spread over partitions of about ``split_bytes``.  An archive up to that size is
     listed and inflated within one task, with no shuffle.  The members of a larger one are shuffled
-    as listing rows, without content, by byte range, so a huge archive is inflated by many tasks.
+    as listing rows, without content, by byte range, so a huge archive is inflated by many tasks, and its
+    central directory, if above ``directory_bytes``, is listed by many, see ``list_long_directories``.
     ``keep_entries`` is a DataFrame function that narrows the listing before anything is inflated;
     with ``regroup``, for one that shuffles the listing, all archives are handled as larger ones are.
     """
@@ -207,25 +293,34 @@ def scan_archives(
         F.count("*").alias("files"),
         F.sum(F.when(~is_large, F.col("length"))).alias("small"),
         F.sum(F.when(is_large, F.col("length"))).alias("large"),
+        F.max("length").alias("longest"),
     ).first()
     # Explicit numbers: listing rows are tiny, so AQE would merge them all into one task.
-    floor = max(1, min(sizes["files"], archives.sparkSession.sparkContext.defaultParallelism))
+    cores = archives.sparkSession.sparkContext.defaultParallelism
+    floor = max(1, min(sizes["files"], cores))
 
     def tasks(size: int | None) -> int:
         return max(floor, -(-(size or 0) // split_bytes))
 
-    def readable(part: DataFrame, size: int | None) -> DataFrame:
-        entries = list_archive_entries(part.repartition(tasks(size)))
+    def readable(entries: DataFrame) -> DataFrame:
         found = readable_entries(entries, max_file_size, with_errors=with_errors)
         return keep_entries(found) if keep_entries else found
 
     scans = []
     if not regroup:
-        scans.append(inflate_entries(readable(archives.filter(~is_large), sizes["small"])))
+        small = archives.filter(~is_large).repartition(tasks(sizes["small"]))
+        scans.append(inflate_entries(readable(list_archive_entries(small))))
     if regroup or sizes["large"]:
+        large, many = archives.filter(is_large), tasks(sizes["large"])
+        if (sizes["longest"] or 0) > max(split_bytes, directory_bytes):
+            listers = max(many, min(cores, sizes["large"] // directory_bytes))
+            listed = list_long_directories(
+                large, listers, longer_than=split_bytes, directory_bytes=directory_bytes
+            )
+        else:
+            listed = list_archive_entries(large.repartition(many))
         ranges = F.floor(F.col("header_offset") / split_bytes)
-        listed = readable(archives.filter(is_large), sizes["large"])
-        spread = listed.repartition(tasks(sizes["large"]), "archive", ranges)
+        spread = readable(listed).repartition(many, "archive", ranges)
         in_order = spread.sortWithinPartitions("archive", "header_offset")
         scans.append(inflate_entries(in_order))
     found = functools.reduce(DataFrame.unionByName, scans)

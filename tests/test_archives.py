@@ -277,3 +277,85 @@ def test_subfolders_are_not_listed(spark, tmp_path):
     held, _ = archives.read_contents(listed)
     assert sorted((r.stem, bytes(r.content)) for r in held.collect()) == [("a", b"x"), ("f [1]{x}", b"x")]
     assert archives.list_archives(spark, str(tmp_path / "deep" / "er"), "txt").count() == 0
+
+
+def long_directory(path, members, name=lambda i: b"r/f%d.py" % i, extra=b"", before=b"", comment=b""):
+    """A zip of many empty stored members, written without ``zipfile``, which would take long."""
+    local = struct.Struct("<4s5H3L2H")
+    central = struct.Struct("<4s6H3L5H2L")
+    body, directory, at = [], [], 0
+    for i in range(members):
+        named = name(i)
+        directory.append(central.pack(b"PK\1\2", 20, 20, 0, 0, 0, 0, 0, 0, 0, len(named), len(extra), 0, 0, 0, 0, at) + named + extra)
+        body.append(local.pack(b"PK\3\4", 20, 0, 0, 0, 0, 0, 0, 0, len(named), 0) + named)
+        at += len(body[-1])
+    held = b"".join(directory)
+    wide = struct.pack("<4sQ2H2L4Q", b"PK\6\6", 44, 45, 45, 0, 0, members, members, len(held), at)
+    wide += struct.pack("<4sLQL", b"PK\6\7", 0, at + len(held), 1)
+    end = struct.pack("<4s4H2LH", b"PK\5\6", 0, 0, 0xFFFF, 0xFFFF, len(held), at, len(comment))
+    path.write_bytes(before + b"".join(body) + held + (wide if members > 0xFFFF else b"") + end + comment)
+
+
+def both_listings(spark, folder, directory_bytes, tasks=4):
+    listed = archives.list_archives(spark, str(folder))
+    parts = archives.list_long_directories(listed, tasks, longer_than=0, directory_bytes=directory_bytes)
+    return archives.list_archive_entries(listed), parts
+
+
+def test_directory_of_a_million_members_is_listed_by_many_tasks(spark, tmp_path):
+    long_directory(tmp_path / "u-r.zip", 1_000_000)
+    whole, parts = both_listings(spark, tmp_path, archives.DIRECTORY_BYTES)
+    digest = [F.count("*"), F.sum(F.crc32(F.to_json(F.struct("*")).cast("binary"))), F.sum("entry_index")]
+    assert parts.agg(*digest).first() == whole.agg(*digest).first()
+    shares = [row["count"] for row in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) == 4 and sum(shares) == 1_000_000 and max(shares) < 400_000
+
+
+@pytest.mark.parametrize("directory_bytes", [1, 50, 64, 333, 5_000])
+def test_cut_directories_give_the_rows_of_whole_ones(spark, folder, tmp_path, directory_bytes):
+    from pathlib import Path
+
+    # Names and extra fields that look like entries, or like the end of an archive, and archives that begin late.
+    mark = b"PK\1\2" + bytes(20)
+    long_directory(Path(folder) / "u-marks.zip", 40, name=lambda i: b"%d" % i + mark * (1 + i % 4) + b".py")
+    long_directory(Path(folder) / "u-ends.zip", 30, name=lambda i: b"PK\6\7" + bytes(15) + b"%d" % i, comment=b"a comment")
+    long_directory(Path(folder) / "u-late.zip", 25, name=lambda i: b"x" * (i * 40) + b".c", before=b"#!/bin/sh\n" * 9)
+    long_directory(Path(folder) / "u-extra.zip", 20, extra=b"\1\0\x08\0" + bytes(8))
+    long_directory(Path(folder) / "u-damaged.zip", 50)
+    data = bytearray((Path(folder) / "u-damaged.zip").read_bytes())
+    data[data.rindex(b"r/f30.py") - 46] = 0
+    (Path(folder) / "u-damaged.zip").write_bytes(data)
+    whole, parts = both_listings(spark, folder, directory_bytes)
+    rows = lambda found: sorted(map(str, found.collect()))
+    assert rows(parts) == rows(whole)
+    assert {r.repo for r in archives.archive_errors(parts).collect()} == {"u-bad", "u-damaged"}
+
+
+def test_a_name_that_looks_like_entries_is_no_entry(spark, tmp_path):
+    # The second range begins within the only name, of which a row of entries could be read up to its end.
+    empty = b"PK\1\2" + bytes(42)
+    long_directory(tmp_path / "u-r.zip", 1, name=lambda i: empty * 20)
+    whole, parts = both_listings(spark, tmp_path, 200)
+    assert [r.entry_index for r in parts.collect()] == [0]
+    assert parts.collect() == whole.collect()
+
+
+def test_archives_listed_twice_and_short_ones(spark, tmp_path):
+    long_directory(tmp_path / "u-r.zip", 30)
+    long_directory(tmp_path / "u-none.zip", 0)
+    listed = archives.list_archives(spark, str(tmp_path))
+    twice = listed.union(listed)
+    parts = archives.list_long_directories(twice, 3, longer_than=0, directory_bytes=100)
+    assert parts.count() == 60 and parts.distinct().count() == 30
+    assert archives.list_long_directories(listed.limit(0), 3, longer_than=0, directory_bytes=100).count() == 0
+
+
+def test_scan_through_cut_directories(spark, tmp_path):
+    make_zip(tmp_path / "u-huge.zip", [(f"r/f{i}.py", b"%d" % i) for i in range(300)])
+    make_zip(tmp_path / "u-tiny.zip", [("r/a.py", b"1")])
+    listed = archives.list_archives(spark, str(tmp_path))
+    columns = ["repo", "entry_index", "entry_name", F.md5("content")]
+    whole = sorted(map(tuple, archives.scan_archives(listed).select(*columns).collect()))
+    for regroup in (False, True):
+        cut = archives.scan_archives(listed, split_bytes=5_000, directory_bytes=1_000, regroup=regroup)
+        assert sorted(map(tuple, cut.select(*columns).collect())) == whole

@@ -663,6 +663,19 @@ def archive_entries(spark, sf_dir):
     )
 
 
+@query(f"""
+    SELECT repo, entry_index, path AS entry_name, true AS is_file, CAST(size_in_bytes AS BIGINT) AS size_in_bytes
+    FROM ({_MEMBER_SQL})
+    UNION ALL
+    SELECT DISTINCT repo, 0, 'main/', false, 0 FROM ({_MEMBER_SQL})""")
+def archive_directories(spark, sf_dir):
+    """Central directories, each cut into ranges of a few members."""
+    listed = archives.list_archives(spark, stored_zip_dir(spark, sf_dir))
+    tasks = spark.sparkContext.defaultParallelism
+    entries = archives.list_long_directories(listed, tasks, longer_than=0, directory_bytes=1 << 10)
+    return entries.select("repo", "entry_index", "entry_name", "is_file", "size_in_bytes")
+
+
 @query(_EXTRACTED_SQL)
 def extract_records(spark, sf_dir):
     return extracted(spark, sf_dir, None)
