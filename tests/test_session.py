@@ -17,6 +17,24 @@ def test_prepare_ships_the_package_once_and_keeps_own_settings(spark):
         spark.conf.set(key, before)
 
 
+def test_listing_takes_a_bounded_number_of_tasks(spark, tmp_path):
+    for number in range(150):
+        folder = tmp_path / f"repo=r{number}"
+        folder.mkdir()
+        (folder / "part.txt").write_text(f"line {number}\n")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    try:
+        lines = spark.read.text(str(tmp_path))
+        tracker = context.statusTracker()
+        stages = [stage for job in tracker.getJobIdsForGroup("listing") for stage in tracker.getJobInfo(job).stageIds]
+        tasks = [tracker.getStageInfo(stage).numTasks for stage in stages]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 128
+    assert lines.count() == 150
+
+
 def test_shared_dir_lies_in_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     first, second = (session.shared_dir(spark, "x") for _ in range(2))
