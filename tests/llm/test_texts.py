@@ -280,6 +280,21 @@ def test_exchange_ends_where_no_single_move_helps():
             assert _likelihood(pairs, moved) <= _likelihood(pairs, member) + 1e-6
 
 
+def test_contexts_of_a_word_cross_the_shuffle_as_one_row(spark):
+    texts = [b"a b a c d", b"b a", b"", b"x a b x", *[b"a b c a"] * 30]
+    docs = spark.createDataFrame([(text,) for text in texts], "text binary").repartition(3)
+    number, contexts = {b"a": 0, b"b": 1, class_ngrams.END: 2}, np.array([0, 1, 1, 2])
+    counts = class_ngrams._context_counts(docs, number, contexts, 3)
+    expected = {}
+    for text in texts:
+        words = class_ngrams.tokens(text)
+        for before, word in zip([class_ngrams.END, *words], words):
+            expected.setdefault(word, [0, 0, 0])[contexts[number.get(before, 3)]] += 1
+    assert {bytes(r.word): [r.s0, r.s1, r.s2] for r in counts.collect()} == expected
+    # Not a row for each word and context.
+    assert "cells" in counts._jdf.queryExecution().executedPlan().toString()
+
+
 def test_model_beats_word_frequency_on_held_out_texts(spark):
     from conftest import SF
 
