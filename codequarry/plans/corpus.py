@@ -242,8 +242,8 @@ def read_corpus(
     with the list and only what matches is scanned, however many repositories are listed.  A
     ``repo_bucket`` folder has many: its rows are joined, before they are parsed.
     """
-    if repos is not None and record_source.by_repository(spark, directory, layout):
-        files = record_source.list_record_files(spark, directory, layout=layout)
+    files = None if repos is None else record_source.files_by_repository(spark, directory, layout)
+    if files is not None:
         keyed = files.withColumn("repo_key", archive_source.key_of_stem(F.col("repo"), match))
         chosen = keyed.join(repos.select("repo_key"), "repo_key", "left_semi").select("path")
         rows = record_source.scan_chosen(spark, directory, chosen, layout=layout)

@@ -37,11 +37,12 @@ def scan_records(spark: SparkSession, directory: str, *, layout: str = "file") -
     return scan_record_table(spark, directory) if layout == "parquet" else scan_record_lines(spark, directory, layout=layout)
 
 
-def by_repository(spark: SparkSession, directory: str, layout: str) -> bool:
-    """Whether each file or folder of a layout holds records of one repository."""
-    if layout != "parquet":
-        return layout in ("file", "repo")
-    return list_leaf_folders(spark, directory).filter(F.col("folder").rlike("/repo=[^/]*$")).limit(1).count() > 0
+def files_by_repository(spark: SparkSession, directory: str, layout: str) -> DataFrame | None:
+    """``list_record_files``, listed once, where each file or folder holds records of one repository; else None."""
+    if layout not in ("file", "repo", "parquet"):
+        return None
+    files = list_record_files(spark, directory, layout=layout)
+    return None if layout == "parquet" and files.isEmpty() else files
 
 
 def list_record_files(spark: SparkSession, directory: str, *, layout: str = "file") -> DataFrame:

@@ -8,6 +8,7 @@ from codequarry.operators.stats import corpus_stats
 from codequarry.plans import corpus
 from codequarry.schemas import RECORD_COLUMNS
 from codequarry.sinks.records import write_records
+from codequarry.sources import records as record_source
 from codequarry.sources import repos
 
 FILES = {
@@ -246,6 +247,23 @@ def test_only_listed_folders_are_in_the_scan(spark, folder, ranks, tmp_path, fmt
     assert corpus.read_corpus(spark, target, listed(spark, "no/one"), layout=layout).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_parquet_folders_are_listed_once(spark, folder, ranks, tmp_path, monkeypatch, buckets):
+    keys = listed(spark, "u/r", "u/r_x", "v/s")
+    target = str(tmp_path / "records")
+    write_records(corpus.extract(spark, keys, folder, vocabulary=ranks), target, fmt="parquet", buckets=buckets)
+    calls, listing = [], record_source.list_leaf_folders
+
+    def counted(*args):
+        calls.append(args)
+        return listing(*args)
+
+    monkeypatch.setattr(record_source, "list_leaf_folders", counted)
+    rows = corpus.read_corpus(spark, target, listed(spark, "v/s"), layout="parquet")
+    assert paths(rows) == ["s-main/z.py"]
+    assert len(calls) == 1
+
+
 def test_bucket_folders_are_filtered_by_row(spark, folder, ranks, tmp_path):
     keys = listed(spark, "u/r", "u/r_x", "v/s")
     for fmt, layout in (("json", "bucket"), ("parquet", "parquet")):
