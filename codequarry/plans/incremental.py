@@ -19,6 +19,7 @@ from codequarry.functions.text import content_hash
 from codequarry.operators.dedup import least_strings
 from codequarry.plans.corpus import extract
 from codequarry.schemas import RECORD_COLUMNS
+from codequarry.session import written_once
 from codequarry.sinks.records import write_records
 from codequarry.sources import archives as archive_source
 from codequarry.sources import records as record_source
@@ -74,7 +75,9 @@ def refresh(spark: SparkSession, repos: DataFrame, archive_dir: str, store: str,
     before, generation = manifest(spark, store)
     generation += 1
     listed = archive_source.list_archives(spark, archive_dir)
-    now = archive_digests(archive_source.match_archives(listed, repos, match))
+    matched = archive_source.match_archives(listed, repos, match).select("archive", "stem", "length")
+    # The digests use it twice: once written, the listed repositories are not made and joined again.
+    now = archive_digests(written_once(matched.coalesce(spark.sparkContext.defaultParallelism), "matched"))
     old = before.select("archive", F.col("repo").alias("_repo"), F.col("digest").alias("_digest"), "generation")
     status = (
         F.when(F.col("digest").isNull(), "gone")

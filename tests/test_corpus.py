@@ -331,6 +331,22 @@ def test_refresh_extracts_what_changed(spark, folder, ranks, tmp_path):
     assert refreshed(wider)["w-t"] == "changed"
 
 
+def test_refresh_matches_archives_once(spark, folder, ranks, tmp_path, monkeypatch):
+    from codequarry.plans import incremental
+
+    plans, digests = [], incremental.archive_digests
+
+    def seen(archives):
+        plans.append(archives._jdf.queryExecution().executedPlan().toString())
+        return digests(archives)
+
+    monkeypatch.setattr(incremental, "archive_digests", seen)
+    found = incremental.refresh(spark, listed(spark, "u/r", "u/r"), folder, str(tmp_path / "store"), vocabulary=ranks)
+    assert [(r.repo, r.status) for r in found.collect()] == [("u-r", "new")]
+    # The digests count the archives, then read them: neither time are they matched with the list.
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
 def test_refresh_that_failed_leaves_the_store(spark, folder, ranks, tmp_path, monkeypatch):
     from codequarry.plans import incremental
 
